@@ -122,3 +122,45 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
         .when(lam < 1.18, small)
         .otherwise(F.greatest(large, F.lit(0.0)))
     )
+
+
+# Coefficients of the rational approximation of the normal quantile
+# (Acklam's published algorithm, relative error below 1.2e-9).
+_QA = [-39.69683028665376, 220.9460984245205, -275.9285104469687,
+       138.3577518672690, -30.66479806614716, 2.506628277459239]
+_QB = [-54.47609879822406, 161.5858368580409, -155.6989798598866,
+       66.80131188771972, -13.28068155288572]
+_QC = [-0.007784894002430293, -0.3223964580411365, -2.400758277161838,
+       -2.549732539343734, 4.374664141464968, 2.938163982698783]
+_QD = [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416]
+_Q_TAIL = 0.02425
+
+
+def _horner(coefs: list[float], x: Column) -> Column:
+    out = F.lit(coefs[0])
+    for c in coefs[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p: Column) -> Column:
+    """Inverse normal CDF as column math, so it stays on the JVM for row-sized data."""
+    def tail(u: Column) -> Column:
+        r = F.sqrt(-2.0 * F.log(u))
+        return _horner(_QC, r) / _horner([*_QD, 1.0], r)
+
+    q = p - 0.5
+    r = q * q
+    middle = _horner(_QA, r) * q / _horner([*_QB, 1.0], r)
+    return (
+        F.when(p < _Q_TAIL, tail(p)).when(p > 1 - _Q_TAIL, -tail(1 - p)).otherwise(middle)
+    )
+
+
+def shapiro_francia_z(w: Column, n: Column) -> Column:
+    """Normal score of a Shapiro-Francia W' (Royston 1993, n from 5)."""
+    u = F.log(n.cast("double"))
+    v = F.log(u)
+    mu = F.lit(-1.2725) + F.lit(1.0521) * (v - u)
+    sigma = F.lit(1.0308) - F.lit(0.26758) * (v + 2.0 / u)
+    return (F.log(1 - w) - mu) / sigma
