@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import AGREEMENT_Z, SIGNIFICANCE
@@ -76,20 +76,24 @@ def rank_tests(df: DataFrame, value: str, arm: str = "arm") -> DataFrame:
     )
 
 
-def poisson_weight(u: Column) -> Column:
-    """Poisson(1) count whose cumulative probability first exceeds ``u``."""
-    steps = ",".join(f"{p!r}D" for p in POISSON_STEPS)
-    return F.size(F.filter(F.expr(f"array({steps})"), lambda p: p <= u))
+def poisson_weight(u: str) -> str:
+    """SQL text of the Poisson(1) count whose cumulative probability first exceeds ``u``."""
+    return " + ".join(f"if({p!r}D <= {u}, 1, 0)" for p in POISSON_STEPS)
 
 
 def _replicates(blocks: DataFrame, sums: list[str], replicates: int, seed: int) -> DataFrame:
     """(rep, weighted sums): every block drawn a Poisson(1) number of times per replicate.
 
-    The input has at most BLOCKS rows, so this is bounded work for any table size.
+    The input has at most BLOCKS rows, so this is bounded work for any table size. The
+    explicit repartition keeps that work from landing in one task.
     """
-    drawn = blocks.select("block", *sums, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    drawn = blocks.repartition(cores, "block").select(
+        "block", *sums, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep")
+    )
     key = F.concat_ws(":", F.col("block").cast("string"), F.col("rep").cast("string"))
-    weighted = drawn.withColumn("w", poisson_weight(hash_unit(key, seed))).where("w > 0")
+    # no filter on w: pushed below, it would hash every row once more per test of u
+    weighted = drawn.withColumn("u", hash_unit(key, seed)).withColumn("w", F.expr(poisson_weight("u")))
     return weighted.groupBy("rep").agg(*[F.expr(f"sum(w * {s}) as {s}") for s in sums])
 
 

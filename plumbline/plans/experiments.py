@@ -89,11 +89,11 @@ def _oof(spark, sf):
     return rows, rows.join(held_out, ["ps", "fold"]).select("row_id", "fold", "oof_prediction")
 
 
-@query("oof_join", f"{WIDE}, {_OOF} SELECT row_id, fold, {S.r('target', 'target')}, {S.r('oof_prediction', 'oof_prediction')} FROM oof")
+@query("oof_join", f"{WIDE}, {_OOF} SELECT row_id, fold, {S.r('target', 'target')}, {S.r('oof_prediction', 'oof_prediction', 8)} FROM oof")
 def oof_join(spark, sf):
     rows, oof = _oof(spark, sf)
     out = inference.reference_snapshot(rows, oof, "row_id", ["fold"], "target")
-    return rounded(out.select("row_id", "fold", "target", "oof_prediction"))
+    return rounded(out.select("row_id", "fold", "target", "oof_prediction"), 6, {"oof_prediction": 8})
 
 
 @query("model_comparison", f"""{WIDE}, {_OOF}, oo AS (SELECT *, avg(target) OVER () AS gm FROM oof),
@@ -307,7 +307,7 @@ sm AS (SELECT day, champion_share, canary_share, latency_ratio, count(*) FILTER
   avg(chall) FILTER (arm = 1) - avg(champ) FILTER (arm = 1) AS mean_shift, corr(champ, chall) FILTER (arm = 1) AS correlation FROM served GROUP BY ALL),
 hl AS (SELECT sm.*, CASE WHEN n_canary >= 10 THEN psi ELSE 0 END AS pred_psi FROM sm JOIN psi ON psi.day = sm.day::varchar),
 fl AS (SELECT *, list_filter([CASE WHEN abs(mean_shift) > {max_shift} THEN 'mean_shift' END, CASE WHEN pred_psi > 0.25 THEN 'prediction_psi' END,
-  CASE WHEN latency_ratio > 2.0 THEN 'latency' END, CASE WHEN correlation < 0.85 THEN 'correlation' END], x -> x IS NOT NULL) AS fails FROM hl)"""
+  CASE WHEN latency_ratio > 2.0 THEN 'latency' END, CASE WHEN correlation < 0.85 THEN 'correlation' END], lambda x: x IS NOT NULL) AS fails FROM hl)"""
 
 
 _CANARY_COLS = ", ".join([

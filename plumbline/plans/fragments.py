@@ -55,10 +55,10 @@ def psi_ctes(ref_long: str, cur_long: str, by: str, bins: int = 10, p: str = "")
     return f"""
 {p}rl AS ({ref_long}), {p}cl AS ({cur_long}),
 {p}edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS e FROM {p}rl GROUP BY feature),
-{p}both AS (SELECT feature, '(reference)' AS {by}, value FROM {p}rl UNION ALL SELECT feature, {by}::varchar, value FROM {p}cl),
+{p}tagged AS (SELECT feature, '(reference)' AS {by}, value FROM {p}rl UNION ALL SELECT feature, {by}::varchar, value FROM {p}cl),
 {p}binned AS (SELECT b.feature, {by}, CASE WHEN value < e[1] - 1e-6 OR value > e[len(e)] + 1e-6 THEN NULL
-    ELSE len(list_filter(e[2:len(e)-1], y -> y <= value)) END AS bin, value
-  FROM {p}both b JOIN {p}edges USING (feature)),
+    ELSE len(list_filter(e[2:len(e)-1], lambda y: y <= value)) END AS bin, value
+  FROM {p}tagged b JOIN {p}edges USING (feature)),
 {p}cnt AS (SELECT feature, {by}, bin, count(*) AS n FROM {p}binned WHERE bin IS NOT NULL GROUP BY ALL),
 {p}side AS (SELECT feature, {by}, count(*) AS n_all, count(bin) AS n_in, avg(value) AS m, stddev_pop(value) AS s,
     stddev_samp(value) AS ss FROM {p}binned GROUP BY ALL),
@@ -94,11 +94,11 @@ def kolmogorov(d: str, n: str, m: str) -> str:
     lam = f"(sqrt({n} * {m} / ({n} + {m})) * {d})"
     small = (
         f"1.0 - sqrt(2 * pi()) / {lam} * list_sum(list_transform(range(1, 21),"
-        f" k -> exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * {lam} * {lam}))))"
+        f" lambda k: exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * {lam} * {lam}))))"
     )
     large = (
         f"2.0 * list_sum(list_transform(range(1, 21),"
-        f" k -> CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * {lam} * {lam})))"
+        f" lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * {lam} * {lam})))"
     )
     return (
         f"CASE WHEN {lam} <= 1e-9 THEN 1.0 WHEN {lam} < 1.18 THEN {small} ELSE greatest({large}, 0.0) END"
@@ -116,7 +116,7 @@ def _simpson(density: str, upper: str, steps: int = 4000) -> str:
     """Integral of ``density`` (of x) from 0 to ``upper`` by Simpson's rule."""
     at = density.replace("{x}", f"(i * {upper} / {steps})")
     return (
-        f"({upper} / {steps} / 3 * list_sum(list_transform(range(0, {steps + 1}), i ->"
+        f"({upper} / {steps} / 3 * list_sum(list_transform(range(0, {steps + 1}), lambda i:"
         f" (CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {at})))"
     )
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from plumbline.functions.scalar import severity
 from plumbline.operators import drift as D
 from plumbline.operators.perturb import day_plan, perturb
 from plumbline.operators.regression import batch_slices as slice_batches
 from plumbline.operators.series import concordance
 from plumbline.plans import fragments as S
 from plumbline.plans.registry import query, rounded
-from plumbline.session import stage
+from plumbline.session import shared_dir, stage
 from plumbline.sources import fixtures as X
 from plumbline.sources.runlog import retrain_signal
 from plumbline.sources.tables import union_batches
@@ -91,8 +94,6 @@ def monitoring_by_batch(spark, sf):
 
 
 def _with_severity(df):
-    from plumbline.functions.scalar import severity
-
     return df.withColumn("severity", severity(F.col("psi"), F.col("ks_stat")))
 
 
@@ -298,13 +299,10 @@ def event_drift_daily(spark, sf):
 @query("stream_event_drift", _EVENT)
 def stream_event_drift(spark, sf):
     """The same drift table built by a stream over the event file, in event-time windows."""
-    from plumbline.session import shared_dir
-    import uuid
-
     events, edges, baseline = _event_baseline(spark, sf)
     raw = X.read(spark, sf, "events")
     stream = jobs.arriving_files(spark, f"{sf}/events.parquet*", raw.schema).selectExpr(
-        "ts", "value", "cast(get_json_object(props, '$.k') as bigint) as k"
+        "cast(ts as timestamp) as ts", "value", "cast(get_json_object(props, '$.k') as bigint) as k"
     ).where("ts >= timestamp '2024-01-15'")
     folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     counts = jobs.windowed_bin_counts(stream, "ts", ["value", "k"], edges)

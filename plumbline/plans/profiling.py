@@ -213,7 +213,7 @@ def _mi(source: str, cols: list[str], bins: int = 20) -> str:
     return f"""mw AS (SELECT row_number() OVER () AS i, * FROM {source}),
 ml AS ({S.long('mw', [*cols, 'target'], 'i')}),
 me AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS e FROM ml GROUP BY feature),
-mb AS (SELECT i, ml.feature, len(list_filter(e[2:len(e)-1], y -> y <= value)) AS b FROM ml JOIN me USING (feature)),
+mb AS (SELECT i, ml.feature, len(list_filter(e[2:len(e)-1], lambda y: y <= value)) AS b FROM ml JOIN me USING (feature)),
 mc AS (SELECT x.feature, x.b AS bx, y.b AS bt, count(*) AS n FROM mb x JOIN mb y ON x.i = y.i AND y.feature = 'target'
   WHERE x.feature <> 'target' GROUP BY ALL),
 mm AS (SELECT *, sum(n) OVER (PARTITION BY feature, bx) AS nx, sum(n) OVER (PARTITION BY feature, bt) AS ny,
@@ -300,10 +300,10 @@ def bland_altman_query(spark, sf):
     return rounded(bland_altman(X.wide_table(spark, sf), "champ", "chall"))
 
 
-@query("bland_altman_points", f"{WIDE} SELECT row_id, {S.r('(champ + chall) / 2', 'pair_mean')}, {S.r('champ - chall', 'diff')} FROM wide "
+@query("bland_altman_points", f"{WIDE} SELECT row_id, {S.r('(champ + chall) / 2', 'pair_mean', 8)}, {S.r('champ - chall', 'diff', 8)} FROM wide "
        f"WHERE {S.unit('row_id', '42')} < 0.25")
 def bland_altman_points_query(spark, sf):
-    return rounded(bland_altman_points(X.wide_table(spark, sf), "champ", "chall", "row_id", 0.25))
+    return rounded(bland_altman_points(X.wide_table(spark, sf), "champ", "chall", "row_id", 0.25), 8)
 
 
 @query("cumulative_share", "WITH c AS (SELECT s_nationkey, sum(l_extendedprice) AS amount FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1), "

@@ -115,6 +115,6 @@ def blind_side(df: DataFrame) -> DataFrame:
 
 def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value",
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
