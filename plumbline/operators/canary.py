@@ -15,7 +15,7 @@ from plumbline.config import (
 )
 from plumbline.functions.scalar import canary_fails, joined_or_none
 from plumbline.operators.drift import decile_edges, psi_of_counts, with_bins
-from plumbline.operators.longform import finite_sql, stack
+from plumbline.operators.longform import corr_sql, finite_sql, stack
 
 DECISION_SCHEMA = (
     "day int, champion_share double, canary_share double, n_champion bigint, n_canary bigint,"
@@ -87,7 +87,7 @@ def canary_health(
         F.expr(e) for e in (
             "count_if(arm = 0) as n_champion", "count_if(arm = 1) as n_canary",
             f"avg(if({served}, chall, null)) - avg(if({served}, champ, null)) as shift",
-            f"corr(if({served}, champ, null), if({served}, chall, null)) as r",
+            corr_sql(f"if({served}, champ, null)", f"if({served}, chall, null)") + " as r",
             f"array({ref}) as rc", f"array({cur}) as cc",
         )
     ])

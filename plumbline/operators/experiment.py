@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.config import AGREEMENT_Z, SIGNIFICANCE
 from plumbline.functions.scalar import hash_unit
 from plumbline.functions.special import ks_pvalue, normal_pvalue, t_pvalue, wilcoxon_pvalue
-from plumbline.operators.longform import finite_sql
+from plumbline.operators.longform import corr_sql, finite_sql
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import running_sums, value_counts
 from plumbline.operators.regression import shapiro_francia, spearman
@@ -205,7 +205,7 @@ def paired_moments(df: DataFrame, a: str, b: str) -> DataFrame:
             "count(*) as n", "avg(a - b) as mean_diff", "stddev_pop(a - b) as std_diff",
             "avg(abs(a - b)) as mean_abs_diff", "max(abs(a - b)) as max_abs_diff",
             "avg(a - b) / nullif(stddev_samp(a - b) / sqrt(count(*)), 0.0D) as paired_t",
-            "corr(a, b) as pearson_correlation",
+            corr_sql("a", "b") + " as pearson_correlation",
         )
     ])
 

@@ -23,6 +23,12 @@ def finite(name: str) -> Column:
     return F.expr(finite_sql(name))
 
 
+def corr_sql(x: str, y: str) -> str:
+    """Pearson correlation of two SQL values that are missing together; null when one
+    is constant, where the built-in function divides by zero."""
+    return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0.0D)"
+
+
 def number_array(values: Sequence[float | int]) -> str:
     """SQL text of an array of numbers."""
     return "array(" + ",".join(f"{v!r}D" if isinstance(v, float) else str(v) for v in values) + ")"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.config import METRIC_EPS, NONLINEARITY_GAP, R2_CEILING
 from plumbline.functions.special import normal_pvalue, t_pvalue
 from plumbline.operators.drift import with_bins
-from plumbline.operators.longform import finite_sql, stack
+from plumbline.operators.longform import corr_sql, finite_sql, stack
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import attach, average_ranks, running_sums, value_counts
 from plumbline.session import stage
@@ -29,7 +29,7 @@ def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     ranked = with_ranks(df.select(*by, x, y), [x, y])
-    return ranked.groupBy(*by).agg(F.corr(f"{x}__rank", f"{y}__rank").alias("spearman_rho"))
+    return ranked.groupBy(*by).agg(F.expr(corr_sql(f"`{x}__rank`", f"`{y}__rank`") + " as spearman_rho"))
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -46,7 +46,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
         F.expr("count(*) as n"), F.expr("avg(y) as my"), F.expr("avg(p) as mp"),
         F.expr("var_pop(y) as vy"), F.expr("var_pop(p) as vp"), F.expr("covar_pop(y, p) as cov"),
         F.expr("avg(y - p) as mbe"), F.expr("avg(abs(y - p)) as mae"),
-        F.expr("avg((y - p) * (y - p)) as mse"), F.expr("corr(y, p) as pearson_r"),
+        F.expr("avg((y - p) * (y - p)) as mse"), F.expr(corr_sql("y", "p") + " as pearson_r"),
     )
     r2 = "1 - mse / nullif(vy, 0.0D)"
     fit = moments.selectExpr(
@@ -65,7 +65,7 @@ def correlation_to_target(
     long = stack(
         df, [target], [{"feature": f"'{c}'", "value": f"{finite_sql(c)}"} for c in features]
     ).where(f"value is not null and {finite_sql(target)} is not null")
-    pearson = long.groupBy("feature").agg(F.corr("value", target).alias("pearson"))
+    pearson = long.groupBy("feature").agg(F.expr(corr_sql("value", f"`{target}`") + " as pearson"))
     ranks = stage(average_ranks(df, [*features, target]), "ranks")
     of_target = ranks.where(F.col("feature") == target).selectExpr(
         f"value as `{target}`", "n as _n", "avg_rank as ry", "tot_n as _tot"
@@ -79,7 +79,7 @@ def correlation_to_target(
         "feature", "value", "n as _n", "avg_rank as rx", "tot_n as _tot"
     )
     rho = attach(pairs, of_feature, ["feature", "value"], "_n", "_tot").groupBy("feature").agg(
-        F.corr("rx", "ry").alias("spearman")
+        F.expr(corr_sql("rx", "ry") + " as spearman")
     )
     return pearson.join(rho, "feature").selectExpr(
         "feature", "pearson", "spearman",
@@ -134,13 +134,13 @@ def residual_moments(df: DataFrame, y: str, yhat: str) -> DataFrame:
     return both.agg(
         F.expr("count(*) as n"),
         F.expr("skewness(e) as skew"), F.expr("kurtosis(e) as excess_kurtosis"),
-        F.expr("corr(p, abs(e)) as heteroscedasticity_r"),
+        F.expr(corr_sql("p", "abs(e)") + " as heteroscedasticity_r"),
     ).selectExpr(
         "n", "skew", "excess_kurtosis",
         "n / 6.0D * (skew * skew + excess_kurtosis * excess_kurtosis / 4) as jarque_bera",
         "exp(-n / 12.0D * (skew * skew + excess_kurtosis * excess_kurtosis / 4)) as jarque_bera_p",
         "heteroscedasticity_r",
-        "heteroscedasticity_r * sqrt((n - 2) / (1 - heteroscedasticity_r * heteroscedasticity_r))"
+        "heteroscedasticity_r * sqrt((n - 2) / nullif(1 - heteroscedasticity_r * heteroscedasticity_r, 0.0D))"
         " as heteroscedasticity_t",
     )
 

@@ -8,7 +8,7 @@ from plumbline.config import FEATURES
 from plumbline.functions import scalar
 from plumbline.operators import models, profile, regression, series, transforms
 from plumbline.operators.experiment import abs_diff_percentiles, bland_altman, bland_altman_points, outlier_verdict
-from plumbline.operators.longform import feature_columns, to_long
+from plumbline.operators.longform import corr_sql, feature_columns, to_long
 from plumbline.operators.ranks import average_ranks
 from plumbline.plans import fragments as S
 from plumbline.plans.registry import query, rounded
@@ -203,7 +203,7 @@ def corr_to_target(spark, sf):
 @query("top_pearson", f"{_CORR} SELECT feature, {S.r('abs(pearson)', 'abs_pearson')} FROM corr ORDER BY abs(pearson) DESC, feature LIMIT 4")
 def top_pearson(spark, sf):
     # only Pearson is needed for the ranking: one aggregate, no ranks
-    items = ", ".join(f"struct('{c}' as feature, abs(corr(`{c}`, target)) as abs_pearson)" for c in WF)
+    items = ", ".join(f"struct('{c}' as feature, abs({corr_sql(f'`{c}`', 'target')}) as abs_pearson)" for c in WF)
     one = X.wide_table(spark, sf).agg(F.expr(f"array({items}) as a")).selectExpr("inline(a)")
     return rounded(one.orderBy(F.desc("abs_pearson"), "feature").limit(4))
 
