@@ -20,6 +20,7 @@ from plumbline.functions.special import ks_pvalue
 from plumbline.operators.longform import finite_sql, stack, with_buckets
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import ROWS_PER_BUCKET, running_sums, value_counts
+from plumbline.session import stage
 
 REFERENCE = "(reference)"
 
@@ -74,23 +75,28 @@ def bin_summaries(
         [by],
         [
             {
-                "feature": f"'{c}'",
+                "fi": str(i),
                 "value": f"`{c}`",
                 "bin": f"`{c}__bin`",
-                "n_bins": str(len(e) - 1 if len(e) >= 3 else 0),
             }
-            for c, e in edges.items()
+            for i, c in enumerate(edges)
         ],
     ).where("value is not null")
     per_bin = ", ".join(f"count_if(bin = {i})" for i in range(width))
     moments = [
-        "first(n_bins) as n_bins", "count(*) as n", "avg(value) as mean",
+        "count(*) as n", "avg(value) as mean",
         "stddev_pop(value) as std", "stddev_samp(value) as std_samp",
         "min(value) as low", "max(value) as high",
         f"array({per_bin}) as counts", "count(bin) as n_in",
     ]
-    summed = long.groupBy("feature", by).agg(*[F.expr(e) for e in moments])
-    return summed.withColumn("counts", F.expr("slice(counts, 1, n_bins)"))
+    summed = long.groupBy("fi", by).agg(*[F.expr(e) for e in moments])
+    names = ",".join(f"'{c}'" for c in edges)
+    sizes = ",".join(str(len(e) - 1 if len(e) >= 3 else 0) for e in edges.values())
+    return summed.selectExpr(
+        f"array({names})[fi] as feature", f"`{by}`", f"array({sizes})[fi] as n_bins",
+        "n", "mean", "std", "std_samp", "low", "high",
+        f"slice(counts, 1, array({sizes})[fi]) as counts", "n_in",
+    )
 
 
 def psi_of_counts(ref: Column, cur: Column, ref_total: Column, cur_total: Column) -> Column:
@@ -156,9 +162,10 @@ def _positions(tagged: DataFrame, cols: Sequence[str], by: str, rows_per_bucket:
         f"if(`{by}` = '{REFERENCE}', n * value, 0.0D) as rs",
     )
     placed = running_sums(counts, ["rn", "rs"]).selectExpr(
-        "*", "sum(rn) over (partition by bucket, value) as rn_here"
+        "*",
+        "sum(rn) over (partition by bucket order by value range between current row and current row) as rn_here",
     )
-    return running_sums(placed, ["n"], ["feature", by])
+    return running_sums(placed, ["n"], ["feature", by], base=counts)
 
 
 def ks_table(reference, current, cols, by, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -198,7 +205,8 @@ def ks_and_wasserstein(
     sum by rank: only levels where the sign changes inside an interval need it, and
     they are looked up in rank buckets, which are balanced by construction.
     """
-    placed = _positions(tag(reference, current, cols, by), cols, by, rows_per_bucket)
+    # read three times below
+    placed = stage(_positions(tag(reference, current, cols, by), cols, by, rows_per_bucket), "placed")
     batch = placed.where(f"`{by}` <> '{REFERENCE}' and tot_rn > 0").selectExpr(
         "feature", f"`{by}`", "bucket", "value", "tot_rn", "tot_n",
         f"{_GAP} as gap",

@@ -74,26 +74,37 @@ def value_counts(
         wide,
         [*by, *[f"_{k}" for k in sums]],
         [
-            {"feature": f"'{c}'", "bucket": f"`{c}__bucket` + {i * (MAX_BUCKETS + 1)}", "value": f"`{c}` + 0.0D"}
+            {"bucket": f"`{c}__bucket` + {i * (MAX_BUCKETS + 1)}", "value": f"`{c}` + 0.0D"}
             for i, c in enumerate(cols)
         ],
     ).where("value is not null")
-    counts = long.groupBy("feature", "bucket", *by, "value").agg(
+    # the bucket number implies the feature, so the name need not travel with every row
+    names = ",".join(f"'{c}'" for c in cols)
+    counts = long.groupBy("bucket", *by, "value").agg(
         *[F.expr(f"sum(`_{k}`) as `{k}`") for k in sums]
+    ).selectExpr(
+        f"array({names})[bucket div {MAX_BUCKETS + 1}] as feature", "bucket", *by, "value", *sums
     )
     # read several times below (rows, bucket totals), each time with other columns
     return stage(counts, "counts")
 
 
-def running_sums(counts: DataFrame, names: Sequence[str], keys: Sequence[str] = ("feature",)) -> DataFrame:
+def running_sums(
+    counts: DataFrame,
+    names: Sequence[str],
+    keys: Sequence[str] = ("feature",),
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``cum_x`` (values up to and including this one) and ``tot_x`` per ``keys``.
 
     Offsets come from a table of (keys x buckets) rows; the bucketed rows
-    themselves are only ever sorted inside their bucket.
+    themselves are only ever sorted inside their bucket. The offsets are written
+    out, so the planner sees their true size and broadcasts them only if small.
+    ``base`` names a cheaper frame with the same rows to total up.
     """
     keys = list(keys)
     group = ", ".join(keys)
-    totals = counts.groupBy(*keys, "bucket").agg(*[F.expr(f"sum({x}) as {x}") for x in names])
+    totals = (base or counts).groupBy(*keys, "bucket").agg(*[F.expr(f"sum({x}) as {x}") for x in names])
     before = f"over (partition by {group} order by bucket rows between unbounded preceding and 1 preceding)"
     offsets = totals.selectExpr(
         *keys, "bucket",
@@ -106,7 +117,8 @@ def running_sums(counts: DataFrame, names: Sequence[str], keys: Sequence[str] =
         "*", *[f"sum({x}) over (partition by {rest} order by value) as _cum_{x}" for x in names]
     )
     kept = [c for c in counts.columns]
-    return local.join(offsets.drop("feature"), ["bucket", *other]).selectExpr(
+    offsets = stage(offsets.drop("feature"), "offsets")
+    return local.join(offsets, ["bucket", *other]).selectExpr(
         *kept, *[e for x in names for e in (f"_cum_{x} + _off_{x} as cum_{x}", f"tot_{x}")]
     )
 
