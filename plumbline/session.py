@@ -27,6 +27,9 @@ def get_spark(app: str = "plumbline", cores: str | int = "*", **conf: str) -> Sp
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -38,9 +41,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="plumbline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="plumbline-")
+    return _own_folders[app]
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
