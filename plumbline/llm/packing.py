@@ -132,6 +132,7 @@ def best_fit(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Rows are ordered by length and then by ``doc_id``, ``piece`` and ``start``.
     """
     spark = rows.sparkSession
+    rows = stage(rows, "pieces")  # the range shuffle reads its input twice, once for the bounds
     order = ["length", "doc_id", "piece"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = stage(
@@ -152,7 +153,7 @@ def best_fit(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     first_of = np.array(first_at, np.int64)[by_place]
     rank_of = np.array(rank_at, np.int64)[by_place]
     plan = np.array(sorted(sweeps(sizes, capacity)), np.int64).reshape(-1, 4)
-    shift = 1 << 44
+    shift, columns = 1 << 44, rows.columns
     keys = plan[:, 0] * shift + plan[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +164,8 @@ def best_fit(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             rank = rank_of[k] + at - first_of[k]
             own = np.searchsorted(keys, length * shift + rank, "right") - 1
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in rows.columns], pa.array(plan[own, 2] + rank - plan[own, 1]), pa.array(plan[own, 3])],
-                [*rows.columns, "sequence_id", "offset"])
+                [*[batch.column(c) for c in columns], pa.array(plan[own, 2] + rank - plan[own, 1]), pa.array(plan[own, 3])],
+                [*columns, "sequence_id", "offset"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return placed.mapInArrow(run, f"{kept}, sequence_id bigint, offset bigint")
