@@ -22,6 +22,7 @@ import bisect
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,12 @@ class WordTokens:
         return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=1)
+def word_tokens(name: str) -> WordTokens:
+    """One per Python worker, so that later tasks find what earlier ones looked up."""
+    return WordTokens(name)
+
+
 def pieces(
     df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -67,7 +74,7 @@ def pieces(
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(vocabulary)
+        tokens = word_tokens(vocabulary)
         for batch in slices(batches):
             rows, number, start, length, sums = [], [], [], [], []
             for i, text in enumerate(binary(batch.column(1))):

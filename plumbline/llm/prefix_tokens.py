@@ -93,6 +93,12 @@ class PrefixTables:
         return steps
 
 
+@lru_cache(maxsize=1)
+def tables_of(vocabulary: str) -> PrefixTables:
+    """One per Python worker, so that later tasks find what earlier ones worked out."""
+    return PrefixTables(model(vocabulary))
+
+
 def counts(steps: np.ndarray) -> np.ndarray:
     """Tokens of every prefix, of none to all characters."""
     return np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
@@ -107,7 +113,7 @@ def prefix_tables(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``steps``: the stored table, a byte per character."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = PrefixTables(model(vocabulary))
+        tables = tables_of(vocabulary)
         for batch in slices(batches):
             texts = binary(batch.column(1))
             steps = [tables(t) for t in texts]
@@ -130,7 +136,7 @@ def budgets(
     are not kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = PrefixTables(model(vocabulary))
+        tables = tables_of(vocabulary)
         for batch in slices(batches):
             sizes, totals, fits = [], [], []
             for text in binary(batch.column(1)):

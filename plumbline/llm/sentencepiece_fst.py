@@ -111,13 +111,19 @@ class Transducer:
         return joined if joined.isascii() else joined.decode("utf-8", "replace").encode()
 
 
+@lru_cache(maxsize=1)
+def machine_of(vocabulary: str) -> Transducer:
+    """One per Python worker, so that later tasks find what earlier ones worked out."""
+    return Transducer(model(vocabulary))
+
+
 def _mapped(df: DataFrame, id_col: str, value_col: str, cast: str, schema: str, one, vocabulary: str) -> DataFrame:
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(value_col).cast(cast).alias("value"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(model(vocabulary))
+        machine = machine_of(vocabulary)
         for batch in slices(batches):
             columns = one(machine, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
