@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import block_naming, packing, prefix_tokens, quality, sentencepiece_fst
+from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, prefix_tokens, quality, sentencepiece_fst
 from plumbline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4,096 tokens."""
     return packing.best_fit(packing.pieces(read(spark, sf_dir, "documents"), "word_bpe_49k.json"))
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents are near copies of each other."""
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op5_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines of each document an earlier line makes redundant."""
+    rows = line_dedup.deduplicated(read(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "removed_lines", F.size("removed_lines").alias("n_removed"), F.octet_length("text").alias("kept_bytes"),
+        F.sha2("text", 256).alias("kept_sha256"))
