@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, prefix_tokens, quality, sentencepiece_fst
+from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity
 from plumbline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "removed_lines", F.size("removed_lines").alias("n_removed"), F.octet_length("text").alias("kept_bytes"),
         F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op2_ppm_scores")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under a byte model of the others."""
+    return ppm.scored(read(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels that aren't held out."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, read(spark, sf_dir, "labels")))
