@@ -74,7 +74,7 @@ class Network:
     """Weights, forward and backward passes. Axis order is (step, window, unit)."""
 
     def __init__(self, seed: int = 7) -> None:
-        draw = np.random.default_rng(seed)
+        draw = self.draw = np.random.default_rng(seed)
         f = lambda *shape, scale: (draw.standard_normal(shape) * scale).astype(np.float32)
         h = HIDDEN
         self.p = {
@@ -126,6 +126,9 @@ class Network:
         """One step on windows given as places in ``words`` (step, window)."""
         h, n = HIDDEN, len(label)
         x, (own, trigrams, sizes) = self.inputs(words)
+        # half of the words are known by their trigrams only, or rare forms would not be learned
+        seen = (self.draw.random(len(words)) < 0.5).astype(np.float32)[:, None]
+        x[:, :WIDTH] *= 2 * seen
         gates = self.project(x)[place] * real[:, :, None]
         states, trace = self.read(gates, keep=True)
         a, pooled, logit = self.pool(states, real)
@@ -155,7 +158,7 @@ class Network:
         grad["w"] = np.stack([x.T @ q for q in parts])
         dx = sum(q @ self.p["w"][d].T for d, q in enumerate(parts))
         grad["words"] = np.zeros_like(self.p["words"])
-        np.add.at(grad["words"], own, dx[:, :WIDTH])
+        np.add.at(grad["words"], own, 2 * seen * dx[:, :WIDTH])
         grad["trigrams"] = np.zeros_like(self.p["trigrams"])
         np.add.at(grad["trigrams"], trigrams, np.repeat(dx[:, WIDTH:] / sizes[:, None], sizes, 0))
         self.t += 1
