@@ -7,7 +7,8 @@ alone and what a policy without it would reject. Only DataFrame functions run he
 
 Null and empty texts have no words and fail ``short``. Rows are treated one by one, so repeated
 rows, ties and null ids stay as they are; an empty table gives an empty ledger. Columns other
-than id and text are not read.
+than id and text are not read. Write the ledger before filtering on its bits: a filter pushed into
+the rules' expressions would evaluate them many times over.
 """
 
 from __future__ import annotations

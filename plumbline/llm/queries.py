@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity
+import corpus_pipeline
+from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity, warc_index
 from plumbline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from the labels that aren't held out."""
     docs = read(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.trained(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op1_warc_index", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS response FROM p GROUP BY html),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, response FROM p JOIN g USING (html)),
+b AS (SELECT *, list_aggregate(list_transform(range(0, 40), lambda i:
+        lpad(bin(('0x' || substr(hex, i + 1, 1))::INT), 4, '0')), 'string_agg', '') AS bits FROM h)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+         + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to FROM b
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, indexed, looked up by URL and read back."""
+    pages = read(spark, sf_dir, "pages")
+    index = warc_index.build_index(warc_index.write_archives(pages))
+    return warc_index.read_records(warc_index.look_up(index, pages)).drop("payload")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole cleaning pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
