@@ -40,9 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")), "labels")
     while True:
         seen = both.join(labels.withColumnsRenamed({"node": "b", "comp": "other"}), "b").groupBy("a").agg(F.min("other").alias("other"))
-        lower = stage(
-            labels.join(seen.withColumnRenamed("a", "node"), "node")
-            .select("node", F.col("comp").alias("was"), F.least("comp", "other").alias("comp")), "labels")
+        lower = labels.join(seen.withColumnRenamed("a", "node"), "node").select(
+            "node", F.col("comp").alias("was"), F.least("comp", "other").alias("comp"))
         jump = lower.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
         after = stage(
             lower.join(jump, "comp", "left")
@@ -88,6 +87,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tried = None
     for turn in range(HUB_ROUNDS + 1):
         rows_ = _buckets(index, groups, comps)
+        if rows_.isEmpty():  # all that share a bucket are connected
+            break
         hub = "hub" if turn % 2 == 0 else "hub2"
         own = groups.join(comps, "key")
         if turn < HUB_ROUNDS:

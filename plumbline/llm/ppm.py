@@ -36,7 +36,7 @@ from plumbline.llm.common import binary, slices, stage, task_id
 
 ORDER = 5
 #: Bytes of text in a block, unless one text is longer.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 16_000_000
 #: Positions looked at together.
 STRIP = 1_000_000
 END = b"\n"
@@ -103,13 +103,13 @@ def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
             nonlocal serial
             name = f"{task_id()}-{serial}"
             serial += 1
-            words = [plain(t) for t in texts]
-            seen, taught = Counter(), Counter()
-            for i, w in zip(ids, words):
-                (taught if trains(i) else seen).update(w)
+            seen, taught, lines = Counter(), Counter(), []
+            for i, text in zip(ids, texts):
+                words = plain(text)
+                (taught if trains(i) else seen).update(words)
+                lines.append(b" ".join(words) + END)
             for w in seen.keys() - taught.keys():
                 taught[w] = 0
-            lines = [b" ".join(w) + END for w in words]
             parts = []
             for teach in (True, False):
                 for strip in _strips([x for i, x in zip(ids, lines) if trains(i) == teach]):

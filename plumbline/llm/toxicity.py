@@ -213,13 +213,14 @@ def _odds(texts: list[list[bytes]], labels: np.ndarray) -> dict[bytes, float]:
     return {w: float(np.log((b + 0.1) / bad) - np.log((g + 0.1) / good)) for w, (g, b) in counts.items()}
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
-    """A network from texts and their labels."""
+def fit(texts: list[bytes], labels: list[int], steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
+    """A network from texts and their labels, after about ``steps`` steps and 8 passes at least."""
     net, draw = Network(seed), np.random.default_rng(seed)
     words, marks = [t.lower().split() for t in texts], np.array(labels, np.float32)
     usable = [i for i, w in enumerate(words) if w]
     words, marks = [words[i] for i in usable], marks[usable]
     odds = _odds(words, marks)
+    epochs = max(8, -(-steps * batch // max(1, len(words))))
     for epoch in range(epochs):
         if epoch == 0:
             best = []
