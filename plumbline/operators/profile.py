@@ -66,19 +66,24 @@ def quantile_rows(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) ->
     return df.sparkSession.createDataFrame(rows, "feature string, prob double, value double")
 
 
-def _flag_counts(df: DataFrame, tests: dict[str, str], name: str) -> DataFrame:
+def _flag_counts(df: DataFrame, tests: dict[str, str | None], name: str) -> DataFrame:
+    """Outliers per column; a column without values has none, and no percentage."""
     items = ", ".join(
-        f"struct('{c}' as feature, count_if({t}) as {name}_outliers,"
-        f" 100.0D * count_if({t}) / count(*) as {name}_pct)"
+        f"struct('{c}' as feature, count_if({t or 'false'}) as {name}_outliers, "
+        + (f"100.0D * count_if({t}) / count(*)" if t else "cast(null as double)") + f" as {name}_pct)"
         for c, t in tests.items()
     )
     return df.agg(F.expr(f"array({items}) as a")).selectExpr("inline(a)")
 
 
-def iqr_tests(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+def iqr_tests(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
     """SQL test per column: strictly outside the quartiles by 1.5 interquartile ranges."""
     tests = {}
-    for c, (q1, q3) in exact_quantiles(df, cols, [0.25, 0.75]).items():
+    for c, quartiles in exact_quantiles(df, cols, [0.25, 0.75]).items():
+        if not quartiles:
+            tests[c] = None
+            continue
+        q1, q3 = quartiles
         reach = IQR_FACTOR * (q3 - q1)
         x = finite_sql(c)
         tests[c] = f"({x} < {q1 - reach!r}D or {x} > {q3 + reach!r}D)"
@@ -89,17 +94,21 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _flag_counts(df, iqr_tests(df, cols), "iqr")
 
 
-def mad_scales(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """(median, median absolute deviation) per column."""
-    med = {c: q[0] for c, q in exact_quantiles(df, cols, [0.5]).items()}
-    dev = exact_quantiles(df, {c: f"abs({finite_sql(c)} - {med[c]!r}D)" for c in cols}, [0.5])
-    return {c: (med[c], dev[c][0]) for c in cols}
+def mad_scales(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
+    """(median, median absolute deviation) per column; None where it has no values."""
+    med = {c: q[0] for c, q in exact_quantiles(df, cols, [0.5]).items() if q}
+    filled = list(med)
+    dev = exact_quantiles(df, {c: f"abs({finite_sql(c)} - {med[c]!r}D)" for c in filled}, [0.5]) if filled else {}
+    return {c: (med[c], dev[c][0]) if c in med else (None, None) for c in cols}
 
 
 def mad_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows whose modified z exceeds 3.5 in size; none where the deviation is 0."""
     tests = {}
     for c, (med, mad) in mad_scales(df, cols).items():
+        if med is None:
+            tests[c] = None
+            continue
         z = f"abs({MAD_SCALE}D * ({finite_sql(c)} - {med!r}D) / {mad!r}D)"
         tests[c] = "false" if mad == 0 else f"({z} > {MAD_CUTOFF}D)"
     return _flag_counts(df, tests, "mad")

@@ -41,7 +41,11 @@ def histogram_density(
 def histogram_edges(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
     """Counts in given bins (last one closed); values outside all bins are left out."""
     x = df.selectExpr(f"{finite_sql(col)} as x")
-    counted = with_bins(x, {"x": list(edges)}).where("x__bin is not null").groupBy("x__bin").agg(
+    if len(edges) == 2:  # one bin, closed on both sides
+        binned = x.selectExpr(f"if(x between {float(edges[0])!r}D and {float(edges[1])!r}D, 0, null) as x__bin")
+    else:
+        binned = with_bins(x, {"x": list(edges)})
+    counted = binned.where("x__bin is not null").groupBy("x__bin").agg(
         F.count("*").alias("n")
     )
     grid = df.sparkSession.createDataFrame(

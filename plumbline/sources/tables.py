@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from plumbline.config import FEATURES
@@ -68,10 +69,15 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.parquet(fresh)
     fs, where, jvm = _files(spark, path)
     path_of = jvm.org.apache.hadoop.fs.Path
-    if fs.exists(where):
-        fs.rename(where, path_of(old))
-    fs.rename(path_of(fresh), where)
-    fs.delete(path_of(old), True)
+    had = fs.exists(where)
+    if had and not fs.rename(where, path_of(old)):
+        raise OSError(f"{path} can't be moved aside; the new rows are in {fresh}")
+    if not fs.rename(path_of(fresh), where):
+        if had and not fs.rename(path_of(old), where):
+            raise OSError(f"{path} can't be replaced; its rows are in {old}, the new ones in {fresh}")
+        raise OSError(f"{path} can't be replaced; it is as it was, the new rows are in {fresh}")
+    if had:
+        fs.delete(path_of(old), True)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
@@ -86,8 +92,10 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.withColumn("batch_id", F.col("batch_id").cast("string"))
+    """All batches; a batch id comes back as the text it was written with ("007", not 7)."""
+    seen = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == "batch_id" else f.dataType) for f in seen]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def union_batches(frames: list[DataFrame]) -> DataFrame:
