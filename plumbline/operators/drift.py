@@ -156,11 +156,14 @@ def psi(
 def _positions(tagged: DataFrame, cols: Sequence[str], by: str, rows_per_bucket: int) -> DataFrame:
     """Every distinct value with its place in the reference and in its own batch."""
     counts = value_counts(tagged, cols, by=[by], rows_per_bucket=rows_per_bucket)
-    counts = counts.selectExpr(
-        "*",
-        f"if(`{by}` = '{REFERENCE}', n, 0) as rn",
-        f"if(`{by}` = '{REFERENCE}', n * value, 0.0D) as rs",
+    # sums of values are taken around the reference mean, or a large offset would cancel all digits
+    centers = counts.where(F.col(by) == REFERENCE).groupBy("feature").agg(
+        F.expr("sum(n * value) / sum(n) as _center")
     )
+    counts = counts.join(F.broadcast(centers), "feature", "left").selectExpr(  # a row per feature
+        "feature", "bucket", f"`{by}`", "value", "n", "value - coalesce(_center, 0.0D) as off",
+        f"if(`{by}` = '{REFERENCE}', n, 0) as rn",
+    ).selectExpr("*", "rn * off as rs")
     placed = running_sums(counts, ["rn", "rs"]).selectExpr(
         "*",
         "sum(rn) over (partition by bucket order by value range between current row and current row) as rn_here",
@@ -213,7 +216,8 @@ def ks_and_wasserstein(
         "(cum_n - n) / tot_n as c0",
         "cum_n / tot_n as c1",
         "cum_rn / tot_rn as at",
-        "(value * cum_rn - cum_rs) / tot_rn as g",
+        "off",
+        "(off * cum_rn - cum_rs) / tot_rn as g",
     ).selectExpr("*", "if(at >= c0, 1.0D, -1.0D) as s0", "if(at >= c1, 1.0D, -1.0D) as s1")
     line = f"over (partition by bucket, `{by}` order by value)"
     steps = batch.selectExpr(
@@ -221,7 +225,7 @@ def ks_and_wasserstein(
     )
     direct = steps.groupBy("feature", by).agg(
         F.expr("max(gap) as ks_stat"),
-        F.expr("sum(s0 * (g - c0 * value) - s1 * (g - c1 * value)) as w"),
+        F.expr("sum(s0 * (g - c0 * off) - s1 * (g - c1 * off)) as w"),
         F.expr("max(tot_rn) as _n"), F.expr("max(tot_n) as _m"),
     )
     # levels whose quantile integral does not cancel with the neighbouring value
@@ -247,7 +251,7 @@ def _quantile_integrals(ref: DataFrame, probes: DataFrame, by: str, rows_per_buc
     points = ref.selectExpr(
         "feature", f"`{by}`", "cast(cum_rn as double) as pos", "tot_rn",
         "cast(null as double) as weight",
-        "struct(value, cum_rn, rn, cum_rs) as step", "1 as is_ref",
+        "struct(off as value, cum_rn, rn, cum_rs) as step", "1 as is_ref",
     ).unionByName(
         probes.selectExpr("feature", f"`{by}`", "pos", "tot_rn", "weight", "0 as is_ref"),
         allowMissingColumns=True,

@@ -15,6 +15,9 @@ from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import attach, average_ranks, running_sums, value_counts
 from plumbline.session import stage
 
+#: Ranks that one array of order scores holds.
+RANK_CHUNK = 1000
+
 
 def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Adds ``<column>__rank`` (average rank). Rows with a missing value are dropped."""
@@ -27,9 +30,12 @@ def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df
 
 
-def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    ranked = with_ranks(df.select(*by, x, y), [x, y])
-    return ranked.groupBy(*by).agg(F.expr(corr_sql(f"`{x}__rank`", f"`{y}__rank`") + " as spearman_rho"))
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Rank correlation over the rows where both numbers are present; ranks count only those rows."""
+    both = df.selectExpr(f"{finite_sql(x)} as `{x}`", f"{finite_sql(y)} as `{y}`").where(
+        F.col(x).isNotNull() & F.col(y).isNotNull()
+    )
+    return with_ranks(both, [x, y]).agg(F.expr(corr_sql(f"`{x}__rank`", f"`{y}__rank`") + " as spearman_rho"))
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -206,23 +212,30 @@ def batch_slices(df: DataFrame, order: Sequence[str], k: int = 4) -> DataFrame:
 
 
 def shapiro_francia(df: DataFrame, x: str) -> DataFrame:
-    """Squared correlation of the ordered values with normal order scores, and its p."""
+    """Squared correlation of the ordered values with normal order scores, and its p.
+
+    Every rank has its own score, also inside a run of equal values. Ranks are cut into chunks,
+    so a value that many rows share is spread over tasks.
+    """
     from plumbline.functions.special import normal_quantile, shapiro_francia_z
 
     counts = running_sums(value_counts(df, [x]), ["n"])
-    # a tie group of n rows spans ranks cum-n+1 .. cum; its mean score is taken at its middle rank
-    scored = counts.withColumn(
-        "m", normal_quantile(F.expr("(cum_n - n + (n + 1) / 2.0D - 0.375D) / (tot_n + 0.25D)"))
-    )
-    sums = scored.agg(
-        F.expr("max(tot_n) as n"),
-        F.expr("sum(n * value) / sum(n) as mx"), F.expr("sum(n * m) / sum(n) as mm"),
-    )
+    chunks = counts.selectExpr(
+        "value", "cum_n", "tot_n", "cum_n - n as start", f"explode(sequence(0L, (n - 1) div {RANK_CHUNK})) as chunk"
+    ).selectExpr(
+        "value", "tot_n", f"start + chunk * {RANK_CHUNK} + 1 as lo", f"least(start + (chunk + 1) * {RANK_CHUNK}, cum_n) as hi"
+    ).repartition("lo")
+    scores = F.transform(
+        F.sequence("lo", "hi"), lambda i: normal_quantile((i - F.lit(0.375)) / (F.col("tot_n") + F.lit(0.25))))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda t, m: t + m)
+    scored = chunks.withColumn("_m", scores).select(
+        "value", "tot_n", F.expr("hi - lo + 1").alias("k"), total(F.col("_m")).alias("m"),
+        total(F.transform("_m", lambda m: m * m)).alias("mm"))
+    mean = scored.agg(F.expr("max(tot_n) as n"), F.expr("sum(k * value) / sum(k) as mx"))
     return (
-        scored.drop("tot_n").withColumnRenamed("n", "k").crossJoin(F.broadcast(sums))
+        scored.drop("tot_n").crossJoin(F.broadcast(mean))
         .groupBy("n").agg(F.expr(
-            "pow(sum(k * (value - mx) * (m - mm)), 2) /"
-            " (sum(k * (value - mx) * (value - mx)) * sum(k * (m - mm) * (m - mm))) as shapiro_w"
+            "pow(sum((value - mx) * m), 2) / (sum(k * (value - mx) * (value - mx)) * sum(mm)) as shapiro_w"
         ))
         .withColumn("shapiro_z", shapiro_francia_z(F.col("shapiro_w"), F.col("n")))
     )
