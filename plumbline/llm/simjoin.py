@@ -11,7 +11,7 @@ without near copies end here; the rest is small.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ PERCENT = 80
 CACHE = 500_000
 #: Elements that one task packs before it sends them on.
 BLOCK = 2_000_000
+#: Words whose windows are hashed together.
+TOGETHER = 100_000
 #: Fixed odd multipliers of the places in a window.
 PLACES = [int.from_bytes(xxhash.xxh3_64_digest(bytes([i])), "big") | 1 for i in range(WINDOW)]
 
@@ -35,20 +37,19 @@ Cut = Callable[[bytes], list[tuple[int, list[bytes]]]]
 class Shingles:
     def __init__(self) -> None:
         self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """Sorted distinct hashes of the windows of ``words``."""
-        n, known = len(words), self.known
-        if n == 0:
-            return np.zeros(0, np.uint64)
-        if n < WINDOW:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64)
-        if len(known) > CACHE:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.array([known[w] for w in words], np.uint64)
-        m = n - WINDOW + 1
+        self.hashes = np.zeros(0, np.uint64)
+
+    def __call__(self, sets: list[list[bytes]]) -> list[np.ndarray]:
+        """Sorted distinct hashes of the windows of each list of words, worked out together."""
+        flat = [w for words in sets for w in words]
+        if len(self.known) > CACHE:
+            self.known.clear()
+            self.hashes = self.hashes[:0]
+        new = list(set(flat).difference(self.known))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)])
+        h = self.hashes[np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))]
+        m = max(0, len(flat) - WINDOW + 1)
         x = np.zeros(m, np.uint64)
         for i, place in enumerate(PLACES):
             x += h[i: i + m] * np.uint64(place)
@@ -57,7 +58,32 @@ class Shingles:
         x ^= x >> np.uint64(27)
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-        return np.unique(x)
+        out, at = [], 0
+        for words in sets:
+            n = len(words)
+            if n >= WINDOW:
+                own = np.sort(x[at: at + n - WINDOW + 1])
+                new_value = own[1:] != own[:-1]
+                out.append(own if new_value.all() else own[np.concatenate([[True], new_value])])
+            else:
+                out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)] if n else [], np.uint64))
+            at += n
+        return out
+
+
+def grouped(cuts: Iterable[tuple[object, list[tuple[int, list[bytes]]]]]) -> Iterator[tuple[list[tuple], list[list[bytes]]]]:
+    """The sets of several texts together, up to ``TOGETHER`` words unless one text has more: their (id, no), their words."""
+    names, sets, size = [], [], 0
+    for i, own in cuts:
+        for no, words in own:
+            names.append((i, no))
+            sets.append(words)
+            size += len(words)
+        if size > TOGETHER:
+            yield names, sets
+            names, sets, size = [], [], 0
+    if names:
+        yield names, sets
 
 
 def needed(n):
@@ -109,9 +135,8 @@ def sieve(rows: DataFrame, cut: Cut) -> DataFrame:
         packed = 0
         for batch in slices(batches):
             arrow = batch.column(0).type
-            for i, text in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
-                for no, words in cut(text):
-                    own = shingles(words)
+            for names, sets in grouped(zip(batch.column(0).to_pylist(), map(cut, binary(batch.column(1))))):
+                for (i, no), own in zip(names, shingles(sets)):
                     ids.append(i)
                     nos.append(no)
                     sizes.append(len(own))
@@ -167,19 +192,19 @@ def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut) -> DataFrame:
         shingles = Shingles()
         for batch in slices(batches):
             at, key, nos, elements = [], [], [], []
-            for i, (text, keys) in enumerate(zip(binary(batch.column(1)), batch.column(2).to_pylist())):
-                keys = dict(keys)
-                for no, words in cut(text):
-                    if no in keys:
-                        at.append(i)
-                        key.append(keys[no])
-                        nos.append(no)
-                        elements.append(shingles(words))
+            wanted = [dict(keys) for keys in batch.column(2).to_pylist()]
+            cuts = ([(no, w) for no, w in cut(text) if no in keys] for text, keys in zip(binary(batch.column(1)), wanted))
+            for names, sets in grouped(enumerate(cuts)):
+                at += [i for i, _ in names]
+                nos += [no for _, no in names]
+                key += [wanted[i][no] for i, no in names]
+                elements += shingles(sets)
+            ends = np.cumsum([0, *map(len, elements)])
             yield pa.RecordBatch.from_arrays([
                 pa.array(key, pa.int64()), batch.column(0).take(pa.array(at, pa.int64())), pa.array(nos, pa.int32()),
                 pa.array([len(e) for e in elements], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(e.tobytes()) for e in elements], pa.binary()),
-                pa.array([e.view(np.int64) for e in elements], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*elements, np.zeros(0, np.uint64)]).view(np.int64))),
             ], ["key", "id", "no", "n", "sign", "elements"])
 
     texts = rows.select("id", "text").join(wanted, "id").select("id", "text", "keys")
