@@ -4,7 +4,8 @@ Lines are sets of five-word shingles over lower-cased words. Equal sets fold; th
 joined by prefix: elements in the order of rarity, length and positional filters, then the sets
 are compared. A line is removed if any earlier line matches it, earlier meaning a smaller
 (doc_id, line number); matches needn't stay themselves. Each bucket of the index first compares
-its lines with its earliest one; a line that has found an earlier match is done.
+its lines with its earliest one, and while many are left, with the earliest one left; a line that
+has found an earlier match is done. The others are compared with all earlier lines.
 
 Lines of fewer than ``min_words`` words always stay: they are too short to be passages. Null texts
 stay null. Rows with the same id are told apart only by line number, so equal lines of repeated rows go
@@ -21,6 +22,8 @@ from plumbline.llm import simjoin
 from plumbline.llm.common import stage
 
 MIN_WORDS = 5
+#: Rounds of one comparison a line and bucket before the rest is compared in full.
+HUB_ROUNDS = 5
 
 
 def lines_of(min_words: int) -> simjoin.Cut:
@@ -31,6 +34,14 @@ def lines_of(min_words: int) -> simjoin.Cut:
     return cut
 
 
+def _crowded(index: DataFrame, left: DataFrame) -> bool:
+    """Would comparing the lines ``left`` with all earlier ones take many pairs for each entry of the index?"""
+    entries = index.groupBy("element").agg(F.count("*").cast("double").alias("c"))
+    open_ = left.groupBy("element").agg(F.count("*").cast("double").alias("u"))
+    got = entries.join(open_, "element", "left").agg(F.sum(F.expr("c * coalesce(u, 0)")).alias("pairs"), F.sum("c").alias("entries")).first()
+    return bool(got["entries"]) and got["pairs"] > 4 * got["entries"]
+
+
 def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, no, of_doc, of_no): each line to remove and an earlier line that it matches."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -43,18 +54,29 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         prefixes.select("key", "n", "unique", F.posexplode("prefix").alias("_at", "element"))
         .select("key", "n", (F.col("unique") + F.col("_at")).alias("at"), "element"), "index")
 
-    # the earliest line of each bucket
-    hubs = index.groupBy("element").agg(F.min(F.struct("key", "n", "at")).alias("hub"))
-    first = index.join(hubs, "element").where("key > hub.key").where(
-        simjoin.can_link("n", "at", "hub.n", "hub.at")).select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
-    tried = simjoin.verified(first, heads, "first")
-    found = stage(tried.where("linked").groupBy("b").agg(F.min("a").alias("a")), "found")
+    # In each bucket the earliest line, then the earliest of those that matched none, is held
+    # against the later ones without a match; few lines are left where a passage has many variants.
+    open_, found, tried = index, None, None
+    for turn in range(HUB_ROUNDS):
+        hubs = open_.groupBy("element").agg(F.min(F.struct("key", "n", "at")).alias("hub"))
+        met = stage(open_.join(hubs, "element").where("key > hub.key"), "met")
+        pairs = met.where(simjoin.can_link("n", "at", "hub.n", "hub.at")).select(
+            F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        done = simjoin.verified(pairs, heads, "first")
+        new = done.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a")
+        found = stage(new if found is None else found.union(new), "found")
+        tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
+        left = index.join(found.select(F.col("b").alias("key")), "key", "left_anti")
+        if not _crowded(index, left):
+            break
+        open_ = met.join(found.select(F.col("b").alias("key")), "key", "left_anti").select(*index.columns)
     # lines that found none, with all earlier ones
-    l = index.alias("l")
-    r = index.join(found.select(F.col("b").alias("key")), "key", "left_anti").alias("r")
+    l, r = index.alias("l"), left.alias("r")
     rest = l.join(r, F.expr("l.element = r.element AND l.key < r.key")).where(
         simjoin.can_link("l.n", "l.at", "r.n", "r.at")).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
-    more = simjoin.verified(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"), heads, "more")
+    more = simjoin.verified(rest.join(tried, ["a", "b"], "left_anti"), heads, "more")
     found = found.union(more.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a"))
 
     near = members.join(found.withColumnRenamed("b", "head"), "head", "left").select(
