@@ -46,16 +46,20 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(vocabulary(name)), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(vocabulary(name)), {}, {}
 
     def __call__(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        words, known = text.split(), self.known
-        new = list(set(words).difference(known))
+        if len(self.known) > CACHE:  # the generation before goes; what is met again moves over from this one
+            self.known, self.older = {}, self.known
+        words, known, older = text.split(), self.known, self.older
+        new = set(words).difference(known)
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
+            fresh = new.difference(older)
+            for w in new - fresh:
+                known[w] = older[w]
+            fresh = list(fresh)
+            for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
                 known[w] = np.array(e.ids, "<u4").tobytes()
         return b"".join([known[w] for w in words])
 
