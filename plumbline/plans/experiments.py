@@ -431,25 +431,42 @@ def kmeans_target_stats(spark, sf):
     return study.stats.crossJoin(study.eta.select("eta_squared", (F.col("eta_squared") > 0.10).alias("groups_matter")))
 
 
+_tuned_models: dict[tuple[str, str, str], models.NestedResult] = {}
+
+
+def _tuned(spark, sf, space: models.Space) -> models.NestedResult:
+    """The operator's whole search over the training side, run once per application and family.
+
+    One fit at a time: the nodes of a large forest are held on the driver.
+    """
+    key = (spark.sparkContext.applicationId, sf, space.name)
+    if key not in _tuned_models:
+        train = X.train_side(X.vector_table(spark, sf)).drop("label")
+        _tuned_models[key] = models.nested_cv(
+            train, "row_id", space, n_outer=5, n_inner=3, n_trials=5, parallelism=1, mode="best_outer_fold"
+        )
+    return _tuned_models[key]
+
+
 @query("nested_cv_forest")
 def nested_cv_forest(spark, sf):
-    """Outer-fold scores of a tuned forest, in a space small enough for a test machine."""
-    space = models.forest_space(trees=(10, 20), depth=(5, 6))
-    train = X.train_side(X.vector_table(spark, sf)).drop("label")
-    return models.nested_cv(train, "row_id", space, n_outer=2, n_inner=2, n_trials=1, mode="best_outer_fold").scores
+    """Outer-fold scores of a tuned forest."""
+    return _tuned(spark, sf, models.forest_space()).scores
+
+
+@query("nested_cv_boosting")
+def nested_cv_boosting(spark, sf):
+    """Outer-fold scores of tuned boosted trees."""
+    return _tuned(spark, sf, models.boosting_space()).scores
 
 
 @query("registered_model_scoring")
 def registered_model_scoring(spark, sf):
-    """Train, register, resolve the alias, load and score the blind rows."""
-    from pyspark.ml.regression import RandomForestRegressor
-
-    data = X.vector_table(spark, sf)
-    pipe = models.training_pipeline(RandomForestRegressor(labelCol="target", numTrees=20, maxDepth=6, seed=42), 40)
-    model = pipe.fit(X.train_side(data).drop("label"))
+    """Tune and train, register, resolve the alias, load and score the blind rows."""
+    model = _tuned(spark, sf, models.forest_space()).model
     registry = runlog.Registry(spark, f"{shared_dir(spark)}/registry-{uuid.uuid4().hex}")
     version = registry.register("tabular_champion", model, {"family": "RandomForest"})
     registry.set_alias("tabular_champion", version, "Production")
     loaded, v = registry.load("tabular_champion", "Production")
-    blind = X.blind_side(data).drop("label")
+    blind = X.blind_side(X.vector_table(spark, sf)).drop("label")
     return inference.score(blind, loaded, f"v{v}", "2024-01-01 00:00:00").select("row_id", "prediction", "model_version")
