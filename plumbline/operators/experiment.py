@@ -13,9 +13,8 @@ from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import running_sums, value_counts
 from plumbline.operators.regression import shapiro_francia, spearman
 
-BLOCKS = 1024
 REPLICATES = 2000
-# Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ...
+# Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ... (the SQL of the bootstrap reads them)
 POISSON_STEPS = [
     0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
     0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253,
@@ -76,25 +75,38 @@ def rank_tests(df: DataFrame, value: str, arm: str = "arm") -> DataFrame:
     )
 
 
-def poisson_weight(u: str) -> str:
-    """SQL text of the Poisson(1) count whose cumulative probability first exceeds ``u``."""
-    return " + ".join(f"if({p!r}D <= {u}, 1, 0)" for p in POISSON_STEPS)
+def _replicates(rows: DataFrame, names: list[str], sums: list[str], replicates: int, seed: int) -> DataFrame:
+    """(rep, weighted sums): every row drawn a Poisson(1) number of times per replicate.
 
-
-def _replicates(blocks: DataFrame, sums: list[str], replicates: int, seed: int) -> DataFrame:
-    """(rep, weighted sums): every block drawn a Poisson(1) number of times per replicate.
-
-    The input has at most BLOCKS rows, so this is bounded work for any table size. The
-    explicit repartition keeps that work from landing in one task.
+    ``rows`` has the columns ``names``; equal rows fold to one with a count n, which is drawn
+    Poisson(n) times, as n single rows are together. So a key that holds many rows ties them
+    together no more than others. The generator is seeded by md5 of the row's contents: retries and
+    repartitioning change nothing. Each task sends one row of sums per replicate.
     """
-    cores = blocks.sparkSession.sparkContext.defaultParallelism
-    drawn = blocks.repartition(cores, "block").select(
-        "block", *sums, F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep")
+    sums_out = [f"_s{i}" for i in range(len(sums))]
+    seeded = F.md5(F.concat_ws(":", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), F.lit(str(seed))))
+    folded = rows.groupBy(*names).agg(F.count("*").alias("_n")).select(
+        seeded.alias("_seed"), "_n", *[F.expr(f"cast({e} as double) as {name}") for name, e in zip(sums_out, sums)]
     )
-    key = F.concat_ws(":", F.col("block").cast("string"), F.col("rep").cast("string"))
-    # no filter on w: pushed below, it would hash every row once more per test of u
-    weighted = drawn.withColumn("u", hash_unit(key, seed)).withColumn("w", F.expr(poisson_weight("u")))
-    return weighted.groupBy("rep").agg(*[F.expr(f"sum(w * {s}) as {s}") for s in sums])
+
+    def draw(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((len(sums), replicates))
+        for batch in batches:
+            values = np.array([batch.column(i + 2).to_numpy(zero_copy_only=False) for i in range(len(sums))])
+            seeds, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(seeds), 256):
+                part = range(at, min(at + 256, len(seeds)))
+                weights = [np.random.Generator(np.random.Philox(key=int(seeds[i], 16))).poisson(counts[i], replicates) for i in part]
+                total += values[:, part.start: part.stop] @ np.array(weights, float)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(replicates, dtype=np.int32)), *map(pa.array, total)], ["rep", *sums_out]
+        )
+
+    partial = folded.mapInArrow(draw, "rep int, " + ", ".join(f"{s} double" for s in sums_out))
+    return partial.groupBy("rep").agg(*[F.sum(s).alias(s) for s in sums_out])
 
 
 def _interval(stats: DataFrame, stat: str, prefix: str) -> DataFrame:
@@ -104,57 +116,29 @@ def _interval(stats: DataFrame, stat: str, prefix: str) -> DataFrame:
     )
 
 
-def _block(key: str, blocks: int) -> str:
-    return (
-        f"pmod(cast(conv(substring(md5(concat(cast(`{key}` as string), ':block')), 1, 8), 16, 10)"
-        f" as bigint), {blocks}) as block"
-    )
-
-
 def bootstrap_mean_diff(
-    df: DataFrame, key: str, value: str, arm: str = "arm",
-    blocks: int = BLOCKS, replicates: int = REPLICATES, seed: int = 42,
+    df: DataFrame, key: str, value: str, arm: str = "arm", replicates: int = REPLICATES, seed: int = 42,
 ) -> DataFrame:
-    """95 % bootstrap interval of mean(a) - mean(b).
-
-    Rows fall into hashed blocks that are summed in one pass; the blocks, which are
-    exchangeable, are resampled. Cost is one scan whatever the number of replicates.
-    """
-    x = finite_sql(value)
-    sums = (
-        df.selectExpr(_block(key, blocks), f"{x} as x", f"`{arm}` as arm")
-        .where("x is not null")
-        .groupBy("block")
-        .agg(*[
-            F.expr(e) for e in (
-                "count_if(arm = 0) as na", "sum(if(arm = 0, x, 0.0D)) as sa",
-                "count_if(arm = 1) as nb", "sum(if(arm = 1, x, 0.0D)) as sb",
-            )
-        ])
-    )
-    stats = _replicates(sums, ["na", "sa", "nb", "sb"], replicates, seed).selectExpr(
-        "sa / nullif(na, 0) - sb / nullif(nb, 0) as diff"
+    """95 % bootstrap interval of mean(a) - mean(b), rows resampled."""
+    rows = df.selectExpr(f"`{key}` as key", f"{finite_sql(value)} as x", f"`{arm}` as arm").where("x is not null")
+    sums = ["if(arm = 0, 1, 0)", "if(arm = 0, x, 0.0D)", "if(arm = 1, 1, 0)", "if(arm = 1, x, 0.0D)"]
+    stats = _replicates(rows, ["key", "x", "arm"], sums, replicates, seed).selectExpr(
+        "_s1 / nullif(_s0, 0) - _s3 / nullif(_s2, 0) as diff"
     )
     return _interval(stats, "diff", "bootstrap_ci95")
 
 
 def bootstrap_r2(
-    df: DataFrame, key: str, y: str, yhat: str,
-    blocks: int = BLOCKS, replicates: int = REPLICATES, seed: int = 42,
+    df: DataFrame, key: str, y: str, yhat: str, replicates: int = REPLICATES, seed: int = 42,
 ) -> DataFrame:
-    """95 % bootstrap interval of r2, target and prediction drawn together."""
-    both = df.selectExpr(_block(key, blocks), f"{finite_sql(y)} as y", f"{finite_sql(yhat)} as p").where(
+    """95 % bootstrap interval of r2, rows resampled with target and prediction together."""
+    rows = df.selectExpr(f"`{key}` as key", f"{finite_sql(y)} as y", f"{finite_sql(yhat)} as p").where(
         "y is not null and p is not null"
     )
-    center = both.agg(F.avg("y")).first()[0] or 0.0
-    sums = both.groupBy("block").agg(*[
-        F.expr(e) for e in (
-            "count(*) as n", f"sum(y - {center!r}D) as s1",
-            f"sum((y - {center!r}D) * (y - {center!r}D)) as s2", "sum((y - p) * (y - p)) as sse",
-        )
-    ])
-    stats = _replicates(sums, ["n", "s1", "s2", "sse"], replicates, seed).selectExpr(
-        "1 - sse / nullif(s2 - s1 * s1 / n, 0.0D) as r2"
+    center = rows.agg(F.avg("y")).first()[0] or 0.0
+    d = f"(y - {center!r}D)"
+    stats = _replicates(rows, ["key", "y", "p"], ["1", d, f"{d} * {d}", "(y - p) * (y - p)"], replicates, seed).selectExpr(
+        "1 - _s3 / nullif(_s2 - _s1 * _s1 / nullif(_s0, 0), 0.0D) as r2"
     )
     return _interval(stats, "r2", "oof_r2_ci95")
 

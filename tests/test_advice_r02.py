@@ -2,7 +2,7 @@
 
 import random
 
-from plumbline.operators import models
+from plumbline.operators import experiment, models
 from plumbline.plans import experiments
 
 
@@ -47,3 +47,33 @@ def test_trials_share_what_is_fitted_before_selection(spark, frame, monkeypatch)
     space = models.forest_space(trees=(2, 3), depth=(2, 3))
     models.search(df, "row_id", "target", space, n_inner=2, n_trials=3, seed=1, make=make)
     assert len(fits) == 2
+
+
+def test_bootstrap_draws_rows_not_keys(spark):
+    """A key with a third of the rows, all of one sign: drawn as one block, its weight would be the interval."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=6000)
+    x[:2000] += 6
+    arm = np.arange(6000) % 2
+    rows = [("hot" if i < 2000 else str(i), float(v), int(a)) for i, (v, a) in enumerate(zip(x, arm))]
+    rows += [("same", 1.0, 0)] * 300  # equal rows fold, and count as many
+    df = spark.createDataFrame(rows, "k string, y double, arm int")
+    a = np.concatenate([x[arm == 0], np.ones(300)])
+    b = x[arm == 1]
+    want = 2 * 1.96 * math.sqrt(a.var() / len(a) + b.var() / len(b))
+    got = experiment.bootstrap_mean_diff(df, "k", "y").first()
+    assert abs((got[1] - got[0]) / want - 1) < 0.1
+    assert got[0] < a.mean() - b.mean() < got[1]
+    again = experiment.bootstrap_mean_diff(df.repartition(5), "k", "y").first()
+    assert abs(again[0] - got[0]) < 1e-9 and abs(again[1] - got[1]) < 1e-9
+    y = rng.normal(50, 1, 6000)
+    p = y + rng.normal(0, 0.4, 6000)
+    pairs = spark.createDataFrame([("hot" if i < 2000 else str(i), float(u), float(v)) for i, (u, v) in enumerate(zip(y, p))], "k string, y double, p double")
+    e = (y - p) ** 2 - (1 - (1 - ((y - p) ** 2).mean() / y.var())) * (y - y.mean()) ** 2  # influence of a row on r2
+    width = 2 * 1.96 * e.std() / y.var() / math.sqrt(6000)
+    ci = experiment.bootstrap_r2(pairs, "k", "y", "p").first()
+    assert abs((ci[1] - ci[0]) / width - 1) < 0.1
