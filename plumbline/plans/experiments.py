@@ -412,22 +412,22 @@ def registry_tags(spark, sf):
 
 @query("pca_variance")
 def pca_variance(spark, sf):
-    return models.pca_variance(X.train_side(X.vector_table(spark, sf)), FEATURES)
+    return models.pca_variance(X.vector_table(spark, sf), FEATURES)
 
 
 @query("linear_vs_forest")
 def linear_vs_forest(spark, sf):
-    return models.linear_vs_forest(X.train_side(X.vector_table(spark, sf)), FEATURES)
+    return models.linear_vs_forest(X.vector_table(spark, sf), FEATURES)
 
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    return models.kmeans_study(X.train_side(X.vector_table(spark, sf)), FEATURES).sweep
+    return models.kmeans_study(X.vector_table(spark, sf), FEATURES).sweep
 
 
 @query("kmeans_target_stats")
 def kmeans_target_stats(spark, sf):
-    study = models.kmeans_study(X.train_side(X.vector_table(spark, sf)), FEATURES)
+    study = models.kmeans_study(X.vector_table(spark, sf), FEATURES)
     return study.stats.crossJoin(study.eta.select("eta_squared", (F.col("eta_squared") > 0.10).alias("groups_matter")))
 
 

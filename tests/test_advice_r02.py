@@ -77,3 +77,24 @@ def test_bootstrap_draws_rows_not_keys(spark):
     width = 2 * 1.96 * e.std() / y.var() / math.sqrt(6000)
     ci = experiment.bootstrap_r2(pairs, "k", "y", "p").first()
     assert abs((ci[1] - ci[0]) / width - 1) < 0.1
+
+
+def test_explorations_read_every_row(spark, monkeypatch):
+    sf, seen = "/root/testdata/sf0.001", {}
+
+    class Stop(Exception):
+        pass
+
+    for name, operator in (("pca_variance", "pca_variance"), ("linear_vs_forest", "linear_vs_forest"),
+                           ("kmeans_sweep", "kmeans_study"), ("kmeans_target_stats", "kmeans_study")):
+        def record(df, cols, name=name):
+            seen[name] = df.count()
+            raise Stop
+
+        monkeypatch.setattr(models, operator, record)
+        try:
+            getattr(experiments, name)(spark, sf)
+        except Stop:
+            pass
+    n = spark.read.parquet(f"{sf}/embeddings.parquet").count()
+    assert seen == dict.fromkeys(("pca_variance", "linear_vs_forest", "kmeans_sweep", "kmeans_target_stats"), n)
