@@ -23,6 +23,10 @@ from plumbline.operators.ranks import ROWS_PER_BUCKET, running_sums, value_count
 from plumbline.session import stage
 
 REFERENCE = "(reference)"
+#: Rows without a batch are a batch of their own.
+NO_BATCH = "(no batch)"
+#: Severity of a feature without any value on one side.
+MISSING = "missing"
 
 
 def decile_edges(reference: DataFrame, cols: Sequence[str], bins: int = PSI_BINS) -> dict[str, list[float]]:
@@ -58,17 +62,20 @@ def with_bins(df: DataFrame, edges: dict[str, list[float]], clip: bool = False)
 
 
 def tag(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
-    """Both sides in one frame; the reference carries a fixed batch name."""
+    """Both sides in one frame; the reference and rows without a batch carry fixed batch names."""
     pick = [f"{finite_sql(c)} as `{c}`" for c in cols]
     return reference.selectExpr(f"'{REFERENCE}' as `{by}`", *pick).unionByName(
-        current.selectExpr(f"cast(`{by}` as string) as `{by}`", *pick)
+        current.selectExpr(f"coalesce(cast(`{by}` as string), '{NO_BATCH}') as `{by}`", *pick)
     )
 
 
 def bin_summaries(
     tagged: DataFrame, edges: dict[str, list[float]], by: str, clip: bool = False
 ) -> DataFrame:
-    """(feature, by, n_bins, n, moments, counts, n_in): one row per feature and batch."""
+    """(feature, by, n_bins, n, moments, counts, n_in): one row per feature and batch.
+
+    Every feature has a row in every batch, with n = 0 where all its values are null.
+    """
     width = max([len(e) - 1 for e in edges.values()] + [1])
     long = stack(
         with_bins(tagged, edges, clip),
@@ -81,10 +88,10 @@ def bin_summaries(
             }
             for i, c in enumerate(edges)
         ],
-    ).where("value is not null")
+    )
     per_bin = ", ".join(f"count_if(bin = {i})" for i in range(width))
     moments = [
-        "count(*) as n", "avg(value) as mean",
+        "count(value) as n", "avg(value) as mean",
         "stddev_pop(value) as std", "stddev_samp(value) as std_samp",
         "min(value) as low", "max(value) as high",
         f"array({per_bin}) as counts", "count(bin) as n_in",
@@ -118,7 +125,10 @@ def psi_of_counts(ref: Column, cur: Column, ref_total: Column, cur_total: Column
 
 
 def psi_table(summaries: DataFrame, by: str) -> DataFrame:
-    """PSI and moments of every batch against the reference row of its feature."""
+    """PSI and moments of every batch against the reference row of its feature.
+
+    PSI is null where one side has no value.
+    """
     ref = summaries.where(F.col(by) == REFERENCE).select(
         "feature", "n_bins",
         F.col("n").alias("n_ref"), F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"),
@@ -133,10 +143,11 @@ def psi_table(summaries: DataFrame, by: str) -> DataFrame:
     )
     return cur.join(ref, "feature").select(
         "feature", by, "n_ref", "n_cur", "n_bins",
-        psi_of_counts(F.col("_rc"), F.col("_cc"), F.col("_rn"), F.col("_cn")).alias("psi"),
+        F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), psi_of_counts(
+            F.col("_rc"), F.col("_cc"), F.col("_rn"), F.col("_cn"))).alias("psi"),
         "ref_mean", "cur_mean", "ref_std", "cur_std", "ref_std_samp", "cur_std_samp",
         (F.col("cur_mean") - F.col("ref_mean")).alias("mean_shift"),
-        (100.0 * (F.col("n_cur") - F.col("_cn")) / F.col("n_cur")).alias("out_of_range_pct"),
+        (100.0 * (F.col("n_cur") - F.col("_cn")) / F.nullif("n_cur", F.lit(0))).alias("out_of_range_pct"),
         F.when(F.col("n_bins") > 0, F.array_min("_rc")).alias("min_bin_ref"),
     ).withColumn("out_of_range_pct", F.when(F.col("n_bins") > 0, F.col("out_of_range_pct")))
 
@@ -287,22 +298,26 @@ def drift(
     clip: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """The full drift record per (batch, feature)."""
+    """The full drift record per (batch, feature), also where a feature has no value in a batch."""
     moments = psi(reference, current, cols, by, bins, clip)
     order = ks_and_wasserstein(reference, current, cols, by, rows_per_bucket)
-    return moments.join(order, ["feature", by]).withColumn(
-        "severity", severity(F.col("psi"), F.col("ks_stat"), thresholds)
-    ).withColumn(
+    return with_severity(moments.join(order, ["feature", by], "left"), thresholds).withColumn(
         "shift_sigma", F.when(F.col("ref_std") > 0, F.col("mean_shift") / F.col("ref_std")).otherwise(0.0)
     )
 
 
+def with_severity(records: DataFrame, thresholds: DriftThresholds = DriftThresholds()) -> DataFrame:
+    """Adds ``severity``: that of PSI and KS, or ``missing`` without values on one side."""
+    known = severity(F.col("psi"), F.col("ks_stat"), thresholds)
+    return records.withColumn("severity", F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), MISSING).otherwise(known))
+
+
 def batch_summary(records: DataFrame, by: str) -> DataFrame:
-    """PSI max / mean and alert / warning counts per batch."""
+    """PSI max / mean and alert / warning counts per batch; a missing feature is an alert."""
     return records.groupBy(by).agg(
         F.max("psi").alias("feature_psi_max"),
         F.avg("psi").alias("feature_psi_mean"),
-        F.count_if(F.col("severity") == "alert").alias("feature_n_alerts"),
+        F.count_if(F.col("severity").isin("alert", MISSING)).alias("feature_n_alerts"),
         F.count_if(F.col("severity") == "warning").alias("feature_n_warnings"),
     )
 
@@ -320,7 +335,7 @@ def monitoring(
         F.col("psi").alias("prediction_psi"),
         F.col("ks_stat").alias("prediction_ks"),
         F.col("cur_mean").alias("prediction_mean"),
-        F.col("severity").alias("_ps"),
+        F.when(F.col("severity") == MISSING, "alert").otherwise(F.col("severity")).alias("_ps"),
     )
     overall = batch_severity(
         F.col("_ps"), F.col("feature_n_alerts"), F.col("feature_n_warnings"), thresholds

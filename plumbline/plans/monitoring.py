@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalar import severity
 from plumbline.operators import drift as D
 from plumbline.operators.perturb import day_plan, perturb
 from plumbline.operators.regression import batch_slices as slice_batches
@@ -90,11 +89,7 @@ def monitoring_by_batch(spark, sf):
     """Which months drifted and how severely: the flagship."""
     ref, cur = _sides(spark, sf)
     moments = D.psi(ref, cur, WF, "month")
-    return rounded(D.batch_summary(_with_severity(moments.join(D.ks_table(ref, cur, WF, "month"), ["feature", "month"])), "month"))
-
-
-def _with_severity(df):
-    return df.withColumn("severity", severity(F.col("psi"), F.col("ks_stat")))
+    return rounded(D.batch_summary(D.with_severity(moments.join(D.ks_table(ref, cur, WF, "month"), ["feature", "month"], "left")), "month"))
 
 
 _PRED = (
@@ -327,11 +322,21 @@ SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n_labelled, """
                     S.r("avg(label - prediction)", "mbe"), S.r("1 - avg((label - prediction) * (label - prediction)) / var_pop(label)", "r2")])
        + " FROM j GROUP BY day")
 def late_label_performance(spark, sf):
+    return _late_labels(spark, sf, "2 days", "inner").drop("n_unlabelled")
+
+
+@query("late_label_coverage")
+def late_label_coverage(spark, sf):
+    """The same after the operator's whole wait, with a count of the events that have no label yet."""
+    return _late_labels(spark, sf, "7 days", "left")
+
+
+def _late_labels(spark, sf, wait: str, how: str):
     events = X.event_table(spark, sf)
     preds = events.selectExpr("event_id", "ts", "value * 1.9D + 1 as prediction")
     labels = events.selectExpr(
         "event_id", "value * 2 as label", "ts + make_dt_interval(cast(pmod(event_id, 4) as int)) as label_ts"
     )
-    joined = jobs.late_labels(preds, labels, "event_id", "ts", "label_ts", "2 days")
+    joined = jobs.late_labels(preds, labels, "event_id", "ts", "label_ts", wait, how)
     daily = jobs.daily_performance(joined, "ts", "label", "prediction")
     return rounded(daily.withColumn("day", F.date_format("day", "yyyy-MM-dd")))

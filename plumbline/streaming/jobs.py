@@ -84,11 +84,13 @@ def binned_drift(
 
 
 def late_labels(
-    predictions: DataFrame, labels: DataFrame, key: str, pred_ts: str, label_ts: str, wait: str = "7 days"
+    predictions: DataFrame, labels: DataFrame, key: str, pred_ts: str, label_ts: str, wait: str = "7 days",
+    how: str = "inner",
 ) -> DataFrame:
     """Predictions joined with labels that arrive up to ``wait`` later.
 
-    On streams both watermarks bound the state; on tables it is a plain join.
+    On streams both watermarks bound the state; on tables it is a plain join. ``how="left"`` also
+    keeps the predictions without a label, on streams once the wait is over.
     """
     p, y = predictions, labels.withColumnRenamed(key, "_key")
     if predictions.isStreaming:
@@ -96,14 +98,14 @@ def late_labels(
     cond = (F.col(key) == F.col("_key")) & (F.col(label_ts) >= F.col(pred_ts)) & (
         F.col(label_ts) <= F.col(pred_ts) + F.expr(f"interval {wait}")
     )
-    return p.join(y, cond, "inner").drop("_key")
+    return p.join(y, cond, how).drop("_key")
 
 
 def daily_performance(joined: DataFrame, ts: str, y: str, yhat: str) -> DataFrame:
-    """Fit metrics per prediction day over rows whose label has arrived."""
+    """Fit metrics per prediction day over rows whose label has arrived, and how many rows have none."""
     err = f"(`{y}` - `{yhat}`)"
     return joined.groupBy(F.to_date(ts).alias("day")).agg(
-        F.count("*").alias("n_labelled"),
+        F.count(y).alias("n_labelled"), F.count_if(F.col(y).isNull()).alias("n_unlabelled"),
         F.expr(f"sqrt(avg({err} * {err})) as rmse"), F.expr(f"avg(abs({err})) as mae"),
         F.expr(f"avg({err}) as mbe"),
         F.expr(f"1 - avg({err} * {err}) / nullif(var_pop(`{y}`), 0.0D) as r2"),

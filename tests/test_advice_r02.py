@@ -98,3 +98,34 @@ def test_explorations_read_every_row(spark, monkeypatch):
             pass
     n = spark.read.parquet(f"{sf}/embeddings.parquet").count()
     assert seen == dict.fromkeys(("pca_variance", "linear_vs_forest", "kmeans_sweep", "kmeans_target_stats"), n)
+
+
+def test_missing_features_and_null_batches_have_records(spark):
+    from plumbline.operators import drift
+
+    ref = spark.range(500).selectExpr("cast(id as double) as x", "cast(id as double) as y")
+    cur = spark.range(300).selectExpr(
+        "cast(id as double) as x", "if(id % 3 = 0, null, cast(id as double)) as y", "element_at(array('a', 'b', null), cast(id % 3 as int) + 1) as day")
+    got = {(r.day, r.feature): r for r in drift.drift(ref, cur, ["x", "y"], "day").collect()}
+    assert set(got) == {(d, f) for d in ("a", "b", drift.NO_BATCH) for f in "xy"}
+    lost = got["a", "y"]
+    assert (lost.n_cur, lost.psi, lost.ks_stat, lost.out_of_range_pct, lost.severity) == (0, None, None, None, drift.MISSING)
+    assert got["b", "y"].n_cur == got[drift.NO_BATCH, "x"].n_cur == 100 and got["b", "y"].severity != drift.MISSING
+    alerts = {d: sum(r.severity in ("alert", drift.MISSING) for (day, _), r in got.items() if day == d) for d in ("a", "b", drift.NO_BATCH)}
+    records = drift.drift(ref, cur, ["x", "y"], "day")
+    assert {r.day: r.feature_n_alerts for r in drift.batch_summary(records, "day").collect()} == alerts
+    rows = drift.monitoring(records.where("feature = 'x'"), records.where("feature = 'y'"), "day").collect()
+    assert {r.day: r.severity for r in rows}["a"] == "alert"
+
+
+def test_unlabelled_predictions_are_counted(spark):
+    from plumbline.plans import monitoring
+    from plumbline.streaming import jobs
+
+    p = spark.range(50).selectExpr("id", "timestamp '2024-01-01' as ts", "cast(id as double) as prediction")
+    y = p.selectExpr("id", "ts + make_dt_interval(cast(id % 10 as int)) as label_ts", "id + 1.0D as label")
+    row = jobs.daily_performance(jobs.late_labels(p, y, "id", "ts", "label_ts", how="left"), "ts", "label", "prediction").first()
+    assert (row.n_labelled, row.n_unlabelled, row.mbe) == (40, 10, 1.0)
+    days = monitoring.late_label_coverage(spark, "/root/testdata/sf0.001").collect()
+    assert sum(r.n_labelled for r in days) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert sum(r.n_unlabelled for r in days) == 0
