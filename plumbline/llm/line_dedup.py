@@ -7,7 +7,8 @@ are compared. A line is removed if any earlier line matches it, earlier meaning
 its lines with its earliest one, and while many are left, with the earliest one left; a line that
 has found an earlier match is done. The others are compared with all earlier lines.
 
-Lines of fewer than ``min_words`` words always stay: they are too short to be passages. Null texts
+Lines of fewer than ``min_words`` words always stay; with ``min_words=1``, as op5 has it, a line of under
+five words is one set of all its words in order and goes if an earlier line equals it. Null texts
 stay null. Rows with the same id are told apart only by line number, so equal lines of repeated rows go
 where the other row has them at an earlier number. Rows with a null id stay as they are. An empty
 table gives an empty result. Columns other than id and text are carried along.

@@ -106,7 +106,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_line_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which lines of each document an earlier line makes redundant."""
-    rows = line_dedup.deduplicated(read(spark, sf_dir, "documents"))
+    rows = line_dedup.deduplicated(read(spark, sf_dir, "documents"), min_words=1)
     return rows.select(
         "doc_id", "removed_lines", F.size("removed_lines").alias("n_removed"), F.octet_length("text").alias("kept_bytes"),
         F.sha2("text", 256).alias("kept_sha256"))
