@@ -17,7 +17,7 @@ from plumbline.session import shared_dir, stage
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["SPACE", "WORD", "read", "stage", "shared_dir", "binary", "task_id", "whole", "match", "ranked", "slices", "vocabulary"]
+__all__ = ["SPACE", "WORD", "read", "stage", "shared_dir", "binary", "task_id", "whole", "match", "ranked", "slices", "vocabulary", "hot_join"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,3 +72,21 @@ def ranked(df: DataFrame, by: list[str], name: str) -> DataFrame:
         df.repartitionByRange(n, *by).sortWithinPartitions(*by)
         .withColumn(name, F.monotonically_increasing_id())
     )
+
+
+#: A key with more than this share of all rows is joined by broadcast; fewer than 1 / HOT_SHARE keys can have it.
+HOT_SHARE = 1 / 1024
+
+
+def hot_join(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``facts`` (one row per key, with its number of rows in ``weight``).
+
+    The facts of hot keys, fewer than 1,024 whatever the table, are broadcast, so their rows stay where
+    they are; the rest meets by shuffle, no key of it holding more than ``HOT_SHARE`` of the rows.
+    """
+    is_hot = F.col(weight) > F.lit(total) * HOT_SHARE
+    hot = facts.where(is_hot).withColumn("_hot", F.lit(True))
+    near = rows.join(F.broadcast(hot), key, "left")
+    found = near.where("_hot").drop("_hot")
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.where(~is_hot), key)
+    return found.unionByName(far)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity, warc_index
+from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity, warc_index, whitening
 from plumbline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_index.read_records(warc_index.look_up(index, pages)).drop("payload")
 
 
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the eight leading directions, each of unit variance."""
+    return whitening.whitened_rows(read(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning pipeline."""
