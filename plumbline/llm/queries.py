@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, toxicity, warc_index, whitening
+from plumbline.llm import block_naming, jaccard_join, line_dedup, packing, ppm, prefix_tokens, quality, sentencepiece_fst, simhash, toxicity, warc_index, whitening
 from plumbline.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +151,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_rows(read(spark, sf_dir, "embeddings"))
 
 
+@query("op12_simhash_near_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents' fingerprints lie within three bits of each other."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning pipeline."""
