@@ -8,10 +8,10 @@ Equal fingerprints fold first. Each fingerprint is cut into two halves of 32 bit
 fingerprints within three bits, one half differs in at most one bit; so the table of halves is
 asked for every half itself and for its Hamming ball of radius one (half of the ball does: of two
 halves one bit apart, the one with the 0 asks). Where two halves are found in the table, the
-fingerprints that hold them meet only if a second index, over the 16-bit quarters of their other
-halves and again with balls of radius one, finds them; the rest of the other half differs in at most
-three bits too, so no link is lost, and a half that very many fingerprints share is not compared
-pair by pair. What meets is verified in full.
+fingerprints that hold them meet only if a second index finds them: under equal halves the other
+halves differ in at most three bits, so one of their four bytes is equal; under halves one bit apart
+they differ in at most two, so one of three parts of 11, 11 and 10 bits is. No link is lost, and a half
+that very many fingerprints share is not compared pair by pair. What meets is verified in full.
 
 Null and empty texts and texts without words have fingerprint zero and link like any other. Rows
 with the same id are one node, whatever their texts; a null id is nobody's component, and its row's
@@ -72,6 +72,15 @@ def _ball(value: Column, bits: int) -> Column:
         F.filter(flips, lambda bit: value.bitwiseAND(bit) == 0), lambda bit: value.bitwiseOR(bit)))
 
 
+def _parts(value: Column, widths: list[int]) -> Column:
+    """A 32-bit value cut into parts of these widths."""
+    out, at = [], 32
+    for width in widths:
+        at -= width
+        out.append(F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")))
+    return F.array(*out)
+
+
 def links(prints: DataFrame) -> DataFrame:
     """(a, b): all pairs of the distinct fingerprints in ``print`` within three bits, a before b."""
     low = F.lit(0xFFFFFFFF).cast("bigint")
@@ -85,17 +94,15 @@ def links(prints: DataFrame) -> DataFrame:
         "half <> mine OR n > 1")  # a half of one fingerprint has nothing to find under itself
     met = stage(asked.drop("n").join(table.drop("n"), ["which", "half"]).select("which", "mine", F.col("half").alias("theirs")), "met")
 
-    quarter = 0xFFFF
-    quarters = F.array(F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("other", 16).alias("quarter")),
-                       F.struct(F.lit(1).alias("side"), F.col("other").bitwiseAND(F.lit(quarter).cast("bigint")).alias("quarter")))
-    placed = halves.select("which", "half", "print", F.explode(quarters).alias("_")).select("which", "half", "print", "_.*")
-    on = ["which", "mine", "theirs", "side", "quarter"]
-    theirs = placed.withColumnRenamed("half", "theirs").join(met, ["which", "theirs"]).select(*on, F.col("print").alias("b"))
-    # both ways round: either quarter may be the one with the 0 bit
-    full = F.concat(F.array(F.col("quarter")), F.transform(
-        F.sequence(F.lit(0), F.lit(15)), lambda i: F.col("quarter").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i))))
-    mine = placed.withColumnRenamed("half", "mine").join(met, ["which", "mine"]).select(
-        "which", "mine", "theirs", "side", F.explode(full).alias("quarter"), F.col("print").alias("a"))
+    def placed(side: str, other_side: str, name: str) -> DataFrame:
+        """The fingerprints of one side of each met pair of halves, once for each part of their other half."""
+        equal = F.col("mine") == F.col("theirs")
+        parts = F.posexplode(F.when(equal, _parts(F.col("other"), [8, 8, 8, 8])).otherwise(_parts(F.col("other"), [11, 11, 10])))
+        return halves.withColumnRenamed("half", side).join(met, ["which", side]).select(
+            "which", side, other_side, F.col("print").alias(name), parts.alias("place", "part"))
+
+    on = ["which", "mine", "theirs", "place", "part"]
+    mine, theirs = placed("mine", "theirs", "a"), placed("theirs", "mine", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
     pairs = mine.join(theirs, on).where((F.col("a") != F.col("b")) & near)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
