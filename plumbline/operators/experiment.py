@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,22 @@ from plumbline.operators.ranks import running_sums, value_counts
 from plumbline.operators.regression import shapiro_francia, spearman
 
 REPLICATES = 2000
-# Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ... (the SQL of the bootstrap reads them)
-POISSON_STEPS = [
-    0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-    0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253,
-    0.9999988747974020, 0.9999998885745217, 0.9999999899522336,
-]
+MASK = 2**32 - 1
+# Odd multipliers of the 32-bit mixer (the SQL of the bootstrap reads them)
+MIX = (0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x9E3779B1)
+#: A draw u of 32 bits is the Poisson(1) count of steps that it reaches; the last step is the last below 2**32.
+POISSON_STEPS = [s for s in (int(math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) * 2**32) for k in range(13)) if s < 2**32]
+
+
+def replicate_keys(replicates: int, seed: int) -> list[int]:
+    """One mixed 32-bit number per replicate."""
+    out = []
+    for r in range(1, replicates + 1):
+        x = (r * MIX[3] + seed) & MASK
+        for shift, by in ((16, MIX[0]), (13, MIX[1])):
+            x = ((x ^ x >> shift) * by) & MASK
+        out.append(x ^ x >> 16)
+    return out
 
 
 def assign_treatment(df: DataFrame, key: str, share: float, seed: int | str = 42) -> DataFrame:
@@ -75,32 +87,54 @@ def rank_tests(df: DataFrame, value: str, arm: str = "arm") -> DataFrame:
     )
 
 
-def _replicates(rows: DataFrame, names: list[str], sums: list[str], replicates: int, seed: int) -> DataFrame:
+def _replicates(rows: DataFrame, names: list[str], sums: list[str], replicates: int, seed: int, unique_key: bool) -> DataFrame:
     """(rep, weighted sums): every row drawn a Poisson(1) number of times per replicate.
 
-    ``rows`` has the columns ``names``; equal rows fold to one with a count n, which is drawn
-    Poisson(n) times, as n single rows are together. So a key that holds many rows ties them
-    together no more than others. The generator is seeded by md5 of the row's contents: retries and
-    repartitioning change nothing. Each task sends one row of sums per replicate.
+    A draw is a mix of two 32-bit words of the row's md5 with the replicate's number, in integers that
+    SQL can repeat; retries and repartitioning change nothing. The first of ``names`` is the key: where
+    it is unique, its md5 is the row's and nothing is shuffled. Otherwise equal rows fold to one with a
+    count n, which is drawn Poisson(n) times, as n single rows are together, and the md5 is of the
+    whole row; so a key that holds many rows ties them together no more than others. Each task sends
+    one row of sums per replicate.
     """
     sums_out = [f"_s{i}" for i in range(len(sums))]
-    seeded = F.md5(F.concat_ws(":", F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), F.lit(str(seed))))
-    folded = rows.groupBy(*names).agg(F.count("*").alias("_n")).select(
-        seeded.alias("_seed"), "_n", *[F.expr(f"cast({e} as double) as {name}") for name, e in zip(sums_out, sums)]
-    )
+    if unique_key:
+        folded, name = rows.withColumn("_n", F.lit(1).cast("bigint")), F.col(names[0]).cast("string")
+    else:
+        folded = rows.groupBy(*names).agg(F.count("*").alias("_n"))
+        name = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    md5 = F.md5(F.concat_ws(":", F.coalesce(name, F.lit("")), F.lit("boot")))
+    words = [F.conv(F.substring(md5, at, 8), 16, 10).cast("bigint") for at in (1, 9)]
+    folded = folded.select(*[w.alias(f"_h{i}") for i, w in enumerate(words)], "_n", *[
+        F.expr(f"cast({e} as double) as {name}") for name, e in zip(sums_out, sums)])
+    keys, steps = replicate_keys(replicates, seed), POISSON_STEPS
 
     def draw(batches):
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros((len(sums), replicates))
+        ks, total = np.array(keys, np.uint32), np.zeros((len(sums), replicates))
         for batch in batches:
-            values = np.array([batch.column(i + 2).to_numpy(zero_copy_only=False) for i in range(len(sums))])
-            seeds, counts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(seeds), 256):
-                part = range(at, min(at + 256, len(seeds)))
-                weights = [np.random.Generator(np.random.Philox(key=int(seeds[i], 16))).poisson(counts[i], replicates) for i in part]
-                total += values[:, part.start: part.stop] @ np.array(weights, float)
+            h1, h2 = (batch.column(i).to_numpy().astype(np.uint32)[:, None] for i in (0, 1))
+            n = batch.column(2).to_numpy()
+            values = np.array([batch.column(i + 3).to_numpy(zero_copy_only=False) for i in range(len(sums))])
+            for at in range(0, batch.num_rows, 64):
+                x = h1[at:at + 64] ^ ks
+                x *= np.uint32(MIX[0])
+                x ^= x >> np.uint32(15)
+                x += h2[at:at + 64]
+                x *= np.uint32(MIX[1])
+                x ^= x >> np.uint32(13)
+                x *= np.uint32(MIX[2])
+                x ^= x >> np.uint32(16)
+                weights = np.zeros(x.shape, np.uint8)
+                for s in steps:
+                    weights += x >= np.uint32(s)
+                weights = weights.astype(float)
+                for i in np.flatnonzero(n[at:at + 64] > 1):
+                    own = np.random.Generator(np.random.Philox(key=[int(h1[at + i, 0]) << 32 | int(h2[at + i, 0]), seed]))
+                    weights[i] = own.poisson(n[at + i], replicates)
+                total += values[:, at:at + 64] @ weights
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(replicates, dtype=np.int32)), *map(pa.array, total)], ["rep", *sums_out]
         )
@@ -118,11 +152,15 @@ def _interval(stats: DataFrame, stat: str, prefix: str) -> DataFrame:
 
 def bootstrap_mean_diff(
     df: DataFrame, key: str, value: str, arm: str = "arm", replicates: int = REPLICATES, seed: int = 42,
+    unique_key: bool = False,
 ) -> DataFrame:
-    """95 % bootstrap interval of mean(a) - mean(b), rows resampled."""
+    """95 % bootstrap interval of mean(a) - mean(b), rows resampled.
+
+    ``unique_key`` states that no two rows share a key, which saves a shuffle.
+    """
     rows = df.selectExpr(f"`{key}` as key", f"{finite_sql(value)} as x", f"`{arm}` as arm").where("x is not null")
     sums = ["if(arm = 0, 1, 0)", "if(arm = 0, x, 0.0D)", "if(arm = 1, 1, 0)", "if(arm = 1, x, 0.0D)"]
-    stats = _replicates(rows, ["key", "x", "arm"], sums, replicates, seed).selectExpr(
+    stats = _replicates(rows, ["key", "x", "arm"], sums, replicates, seed, unique_key).selectExpr(
         "_s1 / nullif(_s0, 0) - _s3 / nullif(_s2, 0) as diff"
     )
     return _interval(stats, "diff", "bootstrap_ci95")
@@ -130,6 +168,7 @@ def bootstrap_mean_diff(
 
 def bootstrap_r2(
     df: DataFrame, key: str, y: str, yhat: str, replicates: int = REPLICATES, seed: int = 42,
+    unique_key: bool = False,
 ) -> DataFrame:
     """95 % bootstrap interval of r2, rows resampled with target and prediction together."""
     rows = df.selectExpr(f"`{key}` as key", f"{finite_sql(y)} as y", f"{finite_sql(yhat)} as p").where(
@@ -137,7 +176,7 @@ def bootstrap_r2(
     )
     center = rows.agg(F.avg("y")).first()[0] or 0.0
     d = f"(y - {center!r}D)"
-    stats = _replicates(rows, ["key", "y", "p"], ["1", d, f"{d} * {d}", "(y - p) * (y - p)"], replicates, seed).selectExpr(
+    stats = _replicates(rows, ["key", "y", "p"], ["1", d, f"{d} * {d}", "(y - p) * (y - p)"], replicates, seed, unique_key).selectExpr(
         "1 - _s3 / nullif(_s2 - _s1 * _s1 / nullif(_s0, 0), 0.0D) as r2"
     )
     return _interval(stats, "r2", "oof_r2_ci95")
@@ -145,13 +184,13 @@ def bootstrap_r2(
 
 def compare_arms(
     df: DataFrame, key: str, value: str, arm: str = "arm",
-    name_a: str = "a", name_b: str = "b", seed: int = 42,
+    name_a: str = "a", name_b: str = "b", seed: int = 42, unique_key: bool = False,
 ) -> DataFrame:
     """One report row: moments, Welch, Mann-Whitney, KS and a bootstrap interval."""
     report = (
         welch(df, value, arm)
         .crossJoin(rank_tests(df, value, arm))
-        .crossJoin(bootstrap_mean_diff(df, key, value, arm, seed=seed))
+        .crossJoin(bootstrap_mean_diff(df, key, value, arm, seed=seed, unique_key=unique_key))
     )
     return report.select(
         F.lit(name_a).alias("name_a"), F.lit(name_b).alias("name_b"),

@@ -195,7 +195,7 @@ _AA = f"{WIDE}, src AS (SELECT row_id, champ AS y, {_ARM} AS arm FROM cur), {S.a
 _AB = f"{WIDE}, src AS (SELECT row_id, CASE WHEN {_ARM} = 1 THEN chall ELSE champ END AS y, {_ARM} AS arm FROM cur), {S.arms_ctes('src', 'y')}"
 _REPORT = [
     "n_a", "n_b", "mean_a", "mean_b", "std_a", "std_b", "mean_diff", "welch_t", "welch_df", "welch_p",
-    "mw_u", "mw_p", "ks_stat", "ks_p",
+    "mw_u", "mw_p", "ks_stat", "ks_p", "bootstrap_ci95_low", "bootstrap_ci95_high",
 ]
 _DIGITS = {"welch_df": 3, "mw_u": 1}
 
@@ -222,43 +222,51 @@ def mann_whitney(spark, sf):
     return rounded(E.rank_tests(_arms(spark, sf, True), "y").select("mw_u", "mw_z", "ks_stat"), 6, _DIGITS)
 
 
-@query("compare_arms", f"{_AB} SELECT {S.ARMS_SELECT} FROM mom, rk")
+_DIFF = S.replicate_ctes({
+    "na": "CASE WHEN arm = 0 THEN 1 ELSE 0 END", "sa": "CASE WHEN arm = 0 THEN y ELSE 0 END",
+    "nb": "CASE WHEN arm = 1 THEN 1 ELSE 0 END", "sb": "CASE WHEN arm = 1 THEN y ELSE 0 END"}, "src")
+_CI = f"""{_DIFF}, ci AS (SELECT {S.r('quantile_cont(sa / na - sb / nb, 0.025)', 'bootstrap_ci95_low')},
+  {S.r('quantile_cont(sa / na - sb / nb, 0.975)', 'bootstrap_ci95_high')} FROM reps)"""
+_CI_COLS = "bootstrap_ci95_low, bootstrap_ci95_high"
+
+
+@query("compare_arms", f"{_AB}, {_CI} SELECT {S.ARMS_SELECT}, {_CI_COLS} FROM mom, rk, ci")
 def compare_arms(spark, sf):
-    return rounded(E.compare_arms(_arms(spark, sf, True), "row_id", "y").select(*_REPORT), 6, _DIGITS)
+    return rounded(_compared(spark, sf, True).select(*_REPORT), 6, _DIGITS)
+
+
+def _compared(spark, sf, ab: bool):
+    return E.compare_arms(_arms(spark, sf, ab), "row_id", "y", unique_key=True)
 
 
 _P3 = f"least({S.student_p('welch_t', 'welch_df')}, {S.normal_p('greatest(mw_z, 0.0)')}, {S.kolmogorov('ks_stat', 'n', 'm')})"
 
 
-@query("aa_test", f"{_AA} SELECT {S.ARMS_SELECT}, {_P3} > 0.05 AS framework_passes_aa_test, {_P3} > 0.05 / 3 AS framework_passes_familywise FROM mom, rk")
+@query("aa_test", f"{_AA}, {_CI} SELECT {S.ARMS_SELECT}, {_CI_COLS}, {_P3} > 0.05 AS framework_passes_aa_test, {_P3} > 0.05 / 3 AS framework_passes_familywise FROM mom, rk, ci")
 def aa_test(spark, sf):
-    out = E.aa_verdict(E.compare_arms(_arms(spark, sf, False), "row_id", "y"))
+    out = E.aa_verdict(_compared(spark, sf, False))
     return rounded(out.select(*_REPORT, "framework_passes_aa_test", "framework_passes_familywise"), 6, _DIGITS)
 
 
-@query("ab_test", f"{_AB} SELECT {S.ARMS_SELECT}, {S.student_p('welch_t', 'welch_df')} < 0.05 AS is_statistically_significant FROM mom, rk")
+@query("ab_test", f"{_AB}, {_CI} SELECT {S.ARMS_SELECT}, {_CI_COLS}, {S.student_p('welch_t', 'welch_df')} < 0.05 AS is_statistically_significant FROM mom, rk, ci")
 def ab_test(spark, sf):
-    out = E.ab_flags(E.compare_arms(_arms(spark, sf, True), "row_id", "y"))
+    out = E.ab_flags(_compared(spark, sf, True))
     return rounded(out.select(*_REPORT, "is_statistically_significant"), 6, _DIGITS)
 
 
-_NA = "count(*) FILTER (arm = 0) AS na, coalesce(sum(y) FILTER (arm = 0), 0) AS sa, count(*) FILTER (arm = 1) AS nb, coalesce(sum(y) FILTER (arm = 1), 0) AS sb"
-
-
-@query("bootstrap_mean_diff", f"{_AB}, {S.replicate_ctes(['na', 'sa', 'nb', 'sb'], _NA, 'src')} "
-       f"SELECT {S.r('quantile_cont(sa / na - sb / nb, 0.025)', 'bootstrap_ci95_low')}, {S.r('quantile_cont(sa / na - sb / nb, 0.975)', 'bootstrap_ci95_high')} FROM reps")
+@query("bootstrap_mean_diff", f"{_AB}, {_CI} SELECT {_CI_COLS} FROM ci")
 def bootstrap_mean_diff(spark, sf):
-    return rounded(E.bootstrap_mean_diff(_arms(spark, sf, True), "row_id", "y"))
+    return rounded(E.bootstrap_mean_diff(_arms(spark, sf, True), "row_id", "y", unique_key=True))
 
 
-_R2 = "count(*) AS n, sum(y) AS s1, sum(y * y) AS s2, sum((y - p) * (y - p)) AS sse"
+_R2 = {"n": "1", "s1": "y", "s2": "y * y", "sse": "(y - p) * (y - p)"}
 
 
 @query("bootstrap_r2", f"{WIDE}, src AS (SELECT row_id, target - (SELECT avg(target) FROM wide) AS y, champ - (SELECT avg(target) FROM wide) AS p FROM wide), "
-       f"{S.replicate_ctes(['n', 's1', 's2', 'sse'], _R2, 'src')} "
+       f"{S.replicate_ctes(_R2, 'src')} "
        f"SELECT {S.r('quantile_cont(1 - sse / (s2 - s1 * s1 / n), 0.025)', 'oof_r2_ci95_low')}, {S.r('quantile_cont(1 - sse / (s2 - s1 * s1 / n), 0.975)', 'oof_r2_ci95_high')} FROM reps")
 def bootstrap_r2(spark, sf):
-    return rounded(E.bootstrap_r2(X.wide_table(spark, sf), "row_id", "target", "champ"))
+    return rounded(E.bootstrap_r2(X.wide_table(spark, sf), "row_id", "target", "champ", unique_key=True))
 
 
 _PAIR = f"""{WIDE}, dd AS (SELECT champ - chall AS d, champ AS a, chall AS b FROM cur),

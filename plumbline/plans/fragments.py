@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from plumbline.config import FEATURES, FeatureConfig
-from plumbline.operators.experiment import POISSON_STEPS
+from plumbline.operators.experiment import MASK, MIX, POISSON_STEPS, REPLICATES, replicate_keys
 
 WIDE_FEATURES = ["q", "d", "t", "tp", "ps", "rp", "sa", "ca"]
 
@@ -170,20 +170,24 @@ ARMS_SELECT = ", ".join([
 ])
 
 
-def poisson(u: str) -> str:
-    return "(" + " + ".join(f"CASE WHEN {p!r}::double <= {u} THEN 1 ELSE 0 END" for p in POISSON_STEPS) + ")"
+def replicate_ctes(sums: dict[str, str], source: str, replicates: int = REPLICATES, seed: int = 42) -> str:
+    """CTE reps(rep, sums): rows of ``source`` (with a row_id) resampled with Poisson(1) counts.
 
-
-def replicate_ctes(sums: list[str], aggregates: str, source: str, replicates: int = 2000, blocks: int = 1024) -> str:
-    """CTE reps(rep, sums): hashed blocks of ``source`` resampled with Poisson(1) weights."""
-    picked = ", ".join(f"sum(w * {s}) AS {s}" for s in sums)
+    The same integers as the operator's: two words of the row's md5 mixed with the replicate's number.
+    """
+    keys = f"[{', '.join(map(str, replicate_keys(replicates, seed)))}]"
+    word = lambda at: f"('0x' || substr(md5(concat(row_id, ':boot')), {at}, 8))::UBIGINT"
+    count = " + ".join(f"(u >= {s})::INT" for s in POISSON_STEPS)
+    c1, c2, c3, _ = MIX
     return f"""
-blk AS (SELECT ('0x' || substr(md5(concat(row_id, ':block')), 1, 8))::bigint % {blocks} AS block, {aggregates}
-  FROM {source} GROUP BY 1),
-drawn AS (SELECT blk.*, rep, {unit("concat_ws(':', block::varchar, rep::varchar)", "42")} AS u
-  FROM blk, range(1, {replicates + 1}) t(rep)),
-weighted AS (SELECT *, {poisson("u")} AS w FROM drawn),
-reps AS (SELECT rep, {picked} FROM weighted WHERE w > 0 GROUP BY rep)"""
+bk AS (SELECT unnest(range(1, {replicates + 1})) AS rep, unnest({keys})::UBIGINT AS k),
+bh AS (SELECT {word(1)} AS h1, {word(9)} AS h2, {', '.join(f'({e})::DOUBLE AS {n}' for n, e in sums.items())} FROM {source}),
+b1 AS (SELECT rep, h2, {', '.join(sums)}, (xor(h1, k) * {c1}) & {MASK} AS u FROM bh, bk),
+b2 AS (SELECT * REPLACE ((((xor(u, u >> 15) + h2) & {MASK}) * {c2}) & {MASK} AS u) FROM b1),
+b3 AS (SELECT * REPLACE ((xor(u, u >> 13) * {c3}) & {MASK} AS u) FROM b2),
+b4 AS (SELECT * REPLACE (xor(u, u >> 16) AS u) FROM b3),
+b5 AS (SELECT *, {count} AS w FROM b4),
+reps AS (SELECT rep, {', '.join(f'sum(w * {n}) AS {n}' for n in sums)} FROM b5 WHERE w > 0 GROUP BY rep)"""
 
 
 def fe_sql(cfg: FeatureConfig = FeatureConfig()) -> dict[str, list[str]]:
