@@ -443,15 +443,12 @@ _tuned_models: dict[tuple[str, str, str], models.NestedResult] = {}
 
 
 def _tuned(spark, sf, space: models.Space) -> models.NestedResult:
-    """The operator's whole search over the training side, run once per application and family.
-
-    One fit at a time: the nodes of a large forest are held on the driver.
-    """
+    """The operator's whole search over the training side, run once per application and family."""
     key = (spark.sparkContext.applicationId, sf, space.name)
     if key not in _tuned_models:
         train = X.train_side(X.vector_table(spark, sf)).drop("label")
         _tuned_models[key] = models.nested_cv(
-            train, "row_id", space, n_outer=5, n_inner=3, n_trials=5, parallelism=1, mode="best_outer_fold"
+            train, "row_id", space, n_outer=5, n_inner=3, n_trials=5, mode="best_outer_fold"
         )
     return _tuned_models[key]
 
@@ -470,11 +467,13 @@ def nested_cv_boosting(spark, sf):
 
 @query("registered_model_scoring")
 def registered_model_scoring(spark, sf):
-    """Tune and train, register, resolve the alias, load and score the blind rows."""
-    model = _tuned(spark, sf, models.forest_space()).model
+    """Train one forest, register it, resolve the alias, load it and score the blind rows."""
+    rows = X.vector_table(spark, sf)
+    fixed = {"numTrees": 300, "maxDepth": 12, "minSplit": 4, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
+    model = models.training_pipeline(models.forest_space().build(fixed, "target"), 46).fit(X.train_side(rows).drop("label"))
     registry = runlog.Registry(spark, f"{shared_dir(spark)}/registry-{uuid.uuid4().hex}")
     version = registry.register("tabular_champion", model, {"family": "RandomForest"})
     registry.set_alias("tabular_champion", version, "Production")
     loaded, v = registry.load("tabular_champion", "Production")
-    blind = X.blind_side(X.vector_table(spark, sf)).drop("label")
+    blind = X.blind_side(rows).drop("label")
     return inference.score(blind, loaded, f"v{v}", "2024-01-01 00:00:00").select("row_id", "prediction", "model_version")
