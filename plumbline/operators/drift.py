@@ -344,9 +344,12 @@ def monitoring(
 
 
 def top_drift(records: DataFrame, by: str, k: int = 3, only: str | None = "alert") -> DataFrame:
-    """The k features with the highest PSI per batch (of the given severity)."""
-    rows = records.where(F.col("severity") == only) if only else records
-    place = F.row_number().over(W.partitionBy(by).orderBy(F.desc("psi"), "feature"))
+    """The k features with the highest PSI per batch (of the given severity).
+
+    A feature that is missing from a batch counts as an alert and comes before all others.
+    """
+    rows = records.where(F.col("severity").isin(only, *([MISSING] if only == "alert" else []))) if only else records
+    place = F.row_number().over(W.partitionBy(by).orderBy(F.desc(F.col("severity") == MISSING), F.desc("psi"), "feature"))
     return rows.withColumn("place", place).where(F.col("place") <= k)
 
 

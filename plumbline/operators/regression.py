@@ -67,24 +67,37 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def correlation_to_target(
     df: DataFrame, features: Sequence[str], target: str, flag: float = NONLINEARITY_GAP
 ) -> DataFrame:
-    """Pearson, Spearman and the gap of their sizes per feature."""
-    long = stack(
-        df, [target], [{"feature": f"'{c}'", "value": f"{finite_sql(c)}"} for c in features]
-    ).where(f"value is not null and {finite_sql(target)} is not null")
+    """Pearson, Spearman and the gap of their sizes per feature, each over the rows where both numbers are present.
+
+    Ranks count those rows only. A feature that is present wherever the target is shares the target's
+    ranks; each of the others ranks the target among its own rows.
+    """
+    y = finite_sql(target)
+    # the target alone, and beside each feature; a feature counts only where the target is present
+    wide = df.selectExpr(f"{y} + 0.0D as `{target}`", *[f"if({y} is null, null, {finite_sql(c)} + 0.0D) as `{c}`" for c in features])
+    present = wide.agg(F.expr(f"array(count(`{target}`), {', '.join(f'count(`{c}`)' for c in features)}) as n")).first()["n"]
+    odd = [c for c, n in zip(features, present[1:]) if 0 < n < present[0]]
+    own = {c: f"{target}__beside_{c}" for c in odd}
+    wide = wide.selectExpr("*", *[f"if(`{c}` is null, null, `{target}`) as `{own[c]}`" for c in odd])
+    long = stack(wide, [target], [{"feature": f"'{c}'", "value": f"`{c}`"} for c in features]).where("value is not null")
     pearson = long.groupBy("feature").agg(F.expr(corr_sql("value", f"`{target}`") + " as pearson"))
-    ranks = stage(average_ranks(df, [*features, target]), "ranks")
-    of_target = ranks.where(F.col("feature") == target).selectExpr(
-        f"value as `{target}`", "n as _n", "avg_rank as ry", "tot_n as _tot"
-    )
-    rows = df.select(*features, F.expr(f"{finite_sql(target)} + 0.0D").alias(target))
-    ranked = attach(rows, of_target, [target], "_n", "_tot")
-    pairs = stack(
-        ranked, ["ry"], [{"feature": f"'{c}'", "value": f"{finite_sql(c)} + 0.0D"} for c in features]
-    ).where("value is not null")
-    of_feature = ranks.where(F.col("feature") != target).selectExpr(
-        "feature", "value", "n as _n", "avg_rank as rx", "tot_n as _tot"
-    )
-    rho = attach(pairs, of_feature, ["feature", "value"], "_n", "_tot").groupBy("feature").agg(
+    ranks = stage(average_ranks(wide, [*features, target, *own.values()]), "ranks")
+
+    def facts(which, feature, value, rank):
+        return ranks.where(which).selectExpr(f"feature as `{feature}`", f"value as `{value}`", "n as _n", f"avg_rank as {rank}", "tot_n as _tot")
+
+    full = [c for c in features if c not in own]
+    pairs = None
+    if full:
+        ranked = attach(wide.select(*full, target), facts(F.col("feature") == target, "_f", target, "ry").drop("_f"), [target], "_n", "_tot")
+        pairs = stack(ranked, ["ry"], [{"feature": f"'{c}'", "value": f"`{c}`"} for c in full]).where("value is not null")
+    if odd:
+        rows = stack(wide, [], [
+            {"feature": f"'{c}'", "value": f"`{c}`", "beside": f"'{own[c]}'", "_y": f"`{own[c]}`"} for c in odd]).where("value is not null")
+        mine = attach(rows, facts(F.col("feature").isin(*own.values()), "beside", "_y", "ry"), ["beside", "_y"], "_n", "_tot")
+        mine = mine.select("ry", "feature", "value")
+        pairs = mine if pairs is None else pairs.unionByName(mine)
+    rho = attach(pairs, facts(F.col("feature").isin(*features), "feature", "value", "rx"), ["feature", "value"], "_n", "_tot").groupBy("feature").agg(
         F.expr(corr_sql("rx", "ry") + " as spearman")
     )
     return pearson.join(rho, "feature").selectExpr(

@@ -116,9 +116,21 @@ def _fold_scores(spark, sf):
     )
 
 
-@query("fold_wilcoxon")
+# the exact p counts the 2^n ways to give signs to the n ranks of the fold differences
+@query("fold_wilcoxon", f"""{WIDE}, {_OOF},
+lin AS (SELECT fold, 1 - avg((target - champ) * (target - champ)) / var_pop(target) AS score FROM f GROUP BY fold),
+men AS (SELECT fold, 1 - avg((target - oof_prediction) * (target - oof_prediction)) / var_pop(target) AS score FROM oof GROUP BY fold),
+df AS (SELECT lin.score - men.score AS d FROM lin JOIN men USING (fold)),
+rd AS (SELECT d, row_number() OVER (ORDER BY abs(d)) AS rank, count(*) OVER () AS n FROM df WHERE d <> 0),
+ws AS (SELECT max(n) AS n, least(sum(rank) FILTER (d > 0), sum(rank) FILTER (d < 0)) AS low,
+  coalesce(sum(rank) FILTER (d > 0), 0) AS up FROM rd),
+w AS (SELECT n, least(up, n * (n + 1) // 2 - up)::double AS w FROM ws),
+sg AS (SELECT s, list_sum(list_transform(range(0, n), lambda i: CASE WHEN (s >> i) & 1 = 1 THEN i + 1 ELSE 0 END)) AS t
+  FROM (SELECT n, unnest(range(0, (1 << n)::bigint)) AS s FROM w))
+SELECT n AS n_nonzero, {S.r('w', 'wilcoxon_w')}, {S.r('least(1.0, 2.0 * (SELECT count(*) FROM sg, w WHERE t <= w) / (1 << n))', 'wilcoxon_p')},
+  {S.r('pow(2.0, 1 - n)', 'min_attainable_p')} FROM w""")
 def fold_wilcoxon(spark, sf):
-    return E.fold_wilcoxon(stage(_fold_scores(spark, sf), "scores"), "model", "fold", "score", "linear", "group_mean")
+    return rounded(E.fold_wilcoxon(stage(_fold_scores(spark, sf), "scores"), "model", "fold", "score", "linear", "group_mean"))
 
 
 def _metric_sql(y: str, p: str, source: str) -> str:
@@ -369,14 +381,16 @@ def canary_predictions(spark, sf):
     return rounded(spark.read.parquet(path).select("row_id", "day", "arm", "champ", "chall"))
 
 
-@query("decision_audit")
+@query("decision_audit", f"{_canary(CANARY_STAGES, _LATENCY, 20000.0)}, runs AS (SELECT unnest(['run-1', 'run-2']) AS run_id) "
+       f"SELECT run_id, {_CANARY_COLS}, '2024-01-01 00:00:00' AS stamped, 'v1' AS champion_version, 'v2' AS challenger_version FROM fl, runs")
 def decision_audit(spark, sf):
     """Decisions appended under a run id, so that earlier runs stay in the history."""
     decisions = _decisions(spark, sf, CANARY_STAGES, _LATENCY, _SCALED)
     path = f"{shared_dir(spark)}/audit-{uuid.uuid4().hex}"
     for run in ("run-1", "run-2"):
         append_batch(C.audit_rows(decisions, run, "2024-01-01 00:00:00", "v1", "v2"), path, run)
-    return read_batches(spark, path)
+    stamped = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("stamped")
+    return rounded(read_batches(spark, path).select("*", stamped).drop("timestamp", "batch_id", "fails", "reason"))
 
 
 # --- run log and registry over event rows ------------------------------------

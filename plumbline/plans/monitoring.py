@@ -15,7 +15,7 @@ from plumbline.plans.registry import query, rounded
 from plumbline.session import shared_dir, stage
 from plumbline.sources import fixtures as X
 from plumbline.sources.runlog import retrain_signal
-from plumbline.sources.tables import union_batches
+from plumbline.sources.tables import append_batch, read_batches, union_batches
 from plumbline.streaming import jobs
 
 WF = X.WIDE_FEATURES
@@ -243,6 +243,19 @@ def top_drift_features(spark, sf):
     return rounded(D.top_drift(history(spark, sf)[0], "batch").select("batch", "feature", "psi", "place"))
 
 
+@query("monitoring_history", f"{HIST} SELECT batch::varchar AS batch_id, n_rows, {S.r('feature_psi_max', 'feature_psi_max')}, {S.r('feature_psi_mean', 'feature_psi_mean')}, "
+       f"feature_n_alerts, feature_n_warnings, {S.r('prediction_psi', 'prediction_psi')}, {S.r('prediction_ks', 'prediction_ks')}, severity FROM hist")
+def monitoring_history(spark, sf):
+    """The history table: a batch appended at a time, one of them twice, read back."""
+    days = stage(history(spark, sf)[1], "days")
+    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    for batch in (1, 2, 3, 4, 3):
+        append_batch(days.where(F.col("batch") == batch).drop("batch"), path, str(batch))
+    out = read_batches(spark, path).select(
+        "batch_id", "n_rows", "feature_psi_max", "feature_psi_mean", "feature_n_alerts", "feature_n_warnings", "prediction_psi", "prediction_ks", "severity")
+    return rounded(out)
+
+
 @query("retrain_signal", f"{HIST} SELECT batch, severity FROM hist WHERE severity = 'alert' AND batch > (SELECT min(batch) FROM hist WHERE severity = 'alert')")
 def retrain_signal_query(spark, sf):
     """A model was retrained on the first alert day; later alerts are still open."""
@@ -314,18 +327,21 @@ def stream_event_drift(spark, sf):
     return _event_rows(jobs.binned_drift(last, baseline, edges))
 
 
-@query("late_label_performance", """WITH p AS (SELECT event_id, ts, value * 1.9 + 1 AS prediction FROM events),
+_LATE = """WITH p AS (SELECT event_id, ts, value * 1.9 + 1 AS prediction FROM events),
 y AS (SELECT event_id, value * 2 AS label, ts + to_days((event_id % 4)::int) AS label_ts FROM events),
-j AS (SELECT p.ts::date AS day, label, prediction FROM p JOIN y USING (event_id) WHERE label_ts >= p.ts AND label_ts <= p.ts + INTERVAL 2 DAY)
-SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n_labelled, """
-       + ", ".join([S.r("sqrt(avg((label - prediction) * (label - prediction)))", "rmse"), S.r("avg(abs(label - prediction))", "mae"),
-                    S.r("avg(label - prediction)", "mbe"), S.r("1 - avg((label - prediction) * (label - prediction)) / var_pop(label)", "r2")])
-       + " FROM j GROUP BY day")
+j AS (SELECT p.ts::date AS day, label, prediction FROM p {how} JOIN y ON p.event_id = y.event_id AND label_ts >= p.ts AND label_ts <= p.ts + INTERVAL {days} DAY)
+SELECT strftime(day, '%Y-%m-%d') AS day, count(label) AS n_labelled, {counts}""" + ", ".join([
+    S.r("sqrt(avg((label - prediction) * (label - prediction)))", "rmse"), S.r("avg(abs(label - prediction))", "mae"),
+    S.r("avg(label - prediction)", "mbe"),
+    S.r("1 - avg((label - prediction) * (label - prediction)) / var_pop(label)", "r2")]) + " FROM j GROUP BY day"
+
+
+@query("late_label_performance", _LATE.format(how="", days=2, counts=""))
 def late_label_performance(spark, sf):
     return _late_labels(spark, sf, "2 days", "inner").drop("n_unlabelled")
 
 
-@query("late_label_coverage")
+@query("late_label_coverage", _LATE.format(how="LEFT", days=7, counts="count(*) - count(label) AS n_unlabelled, "))
 def late_label_coverage(spark, sf):
     """The same after the operator's whole wait, with a count of the events that have no label yet."""
     return _late_labels(spark, sf, "7 days", "left")

@@ -54,7 +54,7 @@ def describe_columns(spark, sf):
     return rounded(profile.describe(X.wide_table(spark, sf), WIDE_ALL), 3)
 
 
-_DOC_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
 
 @query("null_counts", "WITH d AS (SELECT documents.*, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)) "
@@ -64,10 +64,14 @@ def null_counts(spark, sf):
     return profile.null_counts(docs, _DOC_COLS)
 
 
+_LINEITEM = ", ".join(f"l_{c}" for c in (
+    "orderkey partkey suppkey linenumber quantity extendedprice discount tax returnflag linestatus shipdate").split())
+
+
 @query("duplicate_rows", "SELECT sum(n)::bigint AS n_rows, count(*) AS n_distinct, sum(n - 1)::bigint AS n_duplicates "
-       "FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+       "FROM (SELECT count(*) AS n FROM lineitem GROUP BY " + _LINEITEM + ")")
 def duplicate_rows(spark, sf):
-    return profile.duplicate_rows(X.read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return profile.duplicate_rows(X.read(spark, sf, "lineitem"))
 
 
 _PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
@@ -200,6 +204,24 @@ def corr_to_target(spark, sf):
     return rounded(regression.correlation_to_target(X.wide_table(spark, sf), WF, "target"))
 
 
+_GAPS = f"""{WIDE}, gaps AS (SELECT CASE WHEN d < 0.02 THEN NULL ELSE q END AS q, CASE WHEN ca < 0 THEN NULL ELSE tp END AS tp, ps, rp,
+  CASE WHEN t < 0.01 THEN NULL ELSE target END AS target FROM wide),
+corr AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, corr({c}, target) AS pearson, corr(rx, ry) AS spearman FROM (SELECT {c}, target, "
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::double AS rx, "
+    f"rank() OVER (ORDER BY target) + (count(*) OVER (PARTITION BY target) - 1) / 2.0::double AS ry "
+    f"FROM gaps WHERE {c} IS NOT NULL AND target IS NOT NULL)" for c in ("q", "tp", "ps", "rp")) + ")"
+
+
+@query("corr_with_missing_cells", f"{_GAPS} SELECT feature, {S.r('pearson', 'pearson')}, {S.r('spearman', 'spearman')} FROM corr")
+def corr_with_missing_cells(spark, sf):
+    """The same with cells missing from some features and from the target."""
+    gaps = X.wide_table(spark, sf).selectExpr(
+        "if(d < 0.02D, null, q) as q", "if(ca < 0, null, tp) as tp", "ps", "rp", "if(t < 0.01D, null, target) as target")
+    out = regression.correlation_to_target(gaps, ["q", "tp", "ps", "rp"], "target")
+    return rounded(out.select("feature", "pearson", "spearman"))
+
+
 @query("top_pearson", f"{_CORR} SELECT feature, {S.r('abs(pearson)', 'abs_pearson')} FROM corr ORDER BY abs(pearson) DESC, feature LIMIT 4")
 def top_pearson(spark, sf):
     # only Pearson is needed for the ranking: one aggregate, no ranks

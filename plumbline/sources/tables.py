@@ -83,12 +83,18 @@ def overwrite(df: DataFrame, path: str) -> None:
 def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
     """Append one batch. Running the same batch again replaces it, never doubles it.
 
-    The batch id is a partition, and only that partition is overwritten. Columns may
-    be added from batch to batch; ``read_batches`` merges the schemas.
+    The batch id is a partition, and only that partition is overwritten; a batch without
+    rows leaves the partition without rows. Columns may be added from batch to batch;
+    ``read_batches`` merges the schemas.
     """
-    df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch_id").parquet(path)
+    seen = Observation()
+    rows = df.withColumn("batch_id", F.lit(batch_id)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    if not seen.get["rows"]:
+        spark = df.sparkSession
+        name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+        fs, where, _ = _files(spark, f"{path}/batch_id={name}")
+        fs.delete(where, True)
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
