@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from plumbline.config import FEATURES
@@ -12,6 +14,7 @@ from plumbline.operators.longform import corr_sql, feature_columns, to_long
 from plumbline.operators.ranks import average_ranks
 from plumbline.plans import fragments as S
 from plumbline.plans.registry import query, rounded
+from plumbline.session import shared_dir, stage
 from plumbline.sources import fixtures as X
 
 WF = X.WIDE_FEATURES
@@ -364,14 +367,29 @@ def top_anomalies(spark, sf):
 
 @query("anomaly_rate")
 def anomaly_rate_query(spark, sf):
-    from plumbline.operators.isolation import IsolationForest, anomaly_rate
+    """A forest fitted on the reference side, saved with its threshold and loaded to watch the months."""
+    from plumbline.operators.isolation import IsolationForest, IsolationForestModel, anomaly_rate
 
     df = X.wide_table(spark, sf)
-    forest = IsolationForest(trees=100).fit(X.reference_side(df), "row_id", WF)
-    forest.flag(X.reference_side(df).select("row_id", *WF))
-    return anomaly_rate(forest.flag(X.with_month(X.current_side(df)).select("row_id", "month", *WF)), "month")
+    path = f"{shared_dir(spark)}/forest-{uuid.uuid4().hex}"
+    IsolationForest(inputCols=WF).fit(X.reference_side(df)).write().save(path)
+    watch = IsolationForestModel.load(path)
+    return anomaly_rate(watch.transform(X.with_month(X.current_side(df)).select("row_id", "month", *WF)), "month")
+
 
+@query("planted_anomalies", f"{VEC} SELECT count(*) AS n, count(*) FILTER (row_id::bigint % 50 = 7) AS n_planted, "
+       "count(*) FILTER (row_id::bigint % 50 = 7) AS n_planted_flagged, true AS flags_near_share FROM vectors")
+def planted_anomalies(spark, sf):
+    """Rows moved far away in half of their columns: the forest flags each, and about its share of all rows."""
+    from plumbline.operators.isolation import IsolationForest
 
+    planted = F.expr("cast(row_id as bigint) % 50 = 7")
+    moved = [F.when(planted, F.col(c) + 2.0 + i / 10).otherwise(F.col(c)).alias(c) for i, c in enumerate(FEATURES[:10])]
+    df = stage(X.vector_table(spark, sf).select("row_id", *moved, *FEATURES[10:]), "planted")
+    flagged = IsolationForest(inputCols=FEATURES).fit(df).transform(df)
+    return flagged.agg(
+        F.count("*").alias("n"), F.count_if(planted).alias("n_planted"), F.count_if(planted & F.col("is_outlier")).alias("n_planted_flagged"),
+        F.avg(F.col("is_outlier").cast("double")).between(0.03, 0.051).alias("flags_near_share"))
 
 
 @query("outlier_verdict", f"""{WIDE}, src AS (SELECT row_id, target, CASE WHEN q >= 49 AND d >= 0.09 THEN 1 ELSE 0 END AS arm FROM wide),

@@ -68,3 +68,26 @@ def test_a_bootstrap_with_a_unique_key_shuffles_no_rows(spark):
     assert abs(folded[0] - plain[0]) < 0.6 and abs(folded[1] - plain[1]) < 0.6
     plan = experiment.bootstrap_mean_diff(df, "k", "y", unique_key=True)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(key" not in plan
+
+
+def test_a_forest_draws_from_the_whole_table_and_is_saved_with_its_threshold(spark, tmp_path):
+    from plumbline.operators.isolation import IsolationForest, IsolationForestModel, binomial_steps
+
+    steps = binomial_steps(10, 0.3)
+    assert steps == pytest.approx([sum(math.comb(10, j) * 0.3**j * 0.7 ** (10 - j) for j in range(k + 1)) for k in range(len(steps))])
+    df = spark.range(4000).selectExpr("cast(id as string) as k", "cast(id % 61 as double) as a", "if(id < 5, 900.0D, cast(id % 13 as double)) as b")
+    forest = IsolationForest(trees=50, sample=64, keyCol="k", inputCols=["a", "b"])
+    drawn = forest.drawn(df)
+    sizes = {r.tree: r["count"] for r in drawn.groupBy("tree").count().collect()}
+    assert len(sizes) == 50 and 0.9 < sum(sizes.values()) / (50 * 64) < 1.1 and max(sizes.values()) < 110
+    assert drawn.select("_key").distinct().count() > 1900  # 1 - (1 - 64 / 4000) ** 50 of the rows are in some tree
+    assert drawn.groupBy("_key", "tree").count().where("count > 1").isEmpty()
+    model = forest.fit(df)
+    model.write().overwrite().save(str(tmp_path / "f"))
+    back = IsolationForestModel.load(str(tmp_path / "f"))
+    assert back.getOrDefault("threshold") == model.getOrDefault("threshold")
+    flags = [{r.k for r in m.transform(df).where("is_outlier").collect()} for m in (model, back)]
+    assert flags[0] == flags[1] and {"0", "1", "2", "3", "4"} <= flags[0] and len(flags[0]) <= 200
+    assert back.transform(df.where("k = '-'")).count() == 0
+    whole = IsolationForest(trees=3, sample=256, keyCol="k", inputCols=["a"]).drawn(df.limit(100))
+    assert whole.count() == 300  # a small table is in every tree
