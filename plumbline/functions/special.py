@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,6 +81,53 @@ def wilcoxon_exact(w: float, n: int) -> float:
     return min(1.0, 2.0 * sum(counts[: low + 1]) / 2.0**n)
 
 
+def ks_exact(d: float, n: int, m: int) -> float:
+    """Exact P(D >= d) of two untied samples: the share of lattice paths from (0, 0) to (n, m) that
+    leave the band |i/n - j/m| < d. Rows are rescaled, so counts of any size fit; n * m steps."""
+    if n < 1 or m < 1:
+        return math.nan
+    j = np.arange(m + 1)
+    inside = lambda i: np.abs(i * m - j * n) < d * n * m * (1 - 1e-12)
+    row, log = np.where(np.cumprod(inside(0)), 1.0, 0.0), 0.0
+    for i in range(1, n + 1):
+        at = np.flatnonzero(inside(i))
+        fresh = np.zeros(m + 1)
+        if len(at):
+            fresh[at] = np.cumsum(row[at])
+        top = fresh.max()
+        if top == 0:
+            return 1.0
+        row, log = fresh / top, log + math.log(top)
+    if row[m] == 0:
+        return 1.0
+    paths = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return min(1.0, max(0.0, -math.expm1(math.log(row[m]) + log - paths)))
+
+
+def mann_whitney_exact(u: float, n: int, m: int) -> float:
+    """Exact two-sided p of U for untied samples, from the number of arrangements with each U."""
+    if n < 1 or m < 1:
+        return math.nan
+    ways = [1] + [0] * (n * m)
+    for k in range(1, n + 1):  # times (1 - q^(m + k)) / (1 - q^k)
+        for s in range(n * m, m + k - 1, -1):
+            ways[s] -= ways[s - m - k]
+        for s in range(k, n * m + 1):
+            ways[s] += ways[s - k]
+    low = int(min(u, n * m - u))
+    return min(1.0, 2.0 * sum(ways[: low + 1]) / math.comb(n + m, n))
+
+
+@F.pandas_udf(DoubleType())
+def ks_exact_pvalue(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([ks_exact(a, int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def mann_whitney_exact_pvalue(u: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([mann_whitney_exact(a, int(b), int(c)) for a, b, c in zip(u, n, m)], dtype="float64")
+
+
 @F.pandas_udf(DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided(a, b) for a, b in zip(t, df)], dtype="float64")

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from plumbline.config import AGREEMENT_Z, SIGNIFICANCE
 from plumbline.functions.scalar import hash_unit
-from plumbline.functions.special import ks_pvalue, normal_pvalue, t_pvalue, wilcoxon_pvalue
+from plumbline.functions.special import (
+    ks_exact_pvalue, ks_pvalue, mann_whitney_exact_pvalue, normal_pvalue, t_pvalue, wilcoxon_pvalue,
+)
 from plumbline.operators.longform import corr_sql, finite_sql
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.ranks import running_sums, value_counts
-from plumbline.operators.regression import shapiro_francia, spearman
+from plumbline.operators.regression import residual_diagnostics, shapiro_francia, spearman, with_residual_pvalues
 
 REPLICATES = 2000
 MASK = 2**32 - 1
@@ -83,10 +85,38 @@ def rank_tests(df: DataFrame, value: str, arm: str = "arm") -> DataFrame:
     return sums.selectExpr(
         "mw_u",
         f"(greatest(mw_u, n * m - mw_u) - n * m / 2 - 0.5D) / nullif({spread}, 0.0D) as mw_z",
-        "ks_stat", "n as _n", "m as _m",
+        "ks_stat", "n as _n", "m as _m", "ties > 0 as _tied",
     )
 
 
+def two_sample_tests(df: DataFrame, value: str, arm: str = "arm", method: str = "asymptotic") -> DataFrame:
+    """Mann-Whitney and KS with two-sided p-values, and how each was found.
+
+    ``method="exact"`` counts arrangements, in steps of the product of the two arms' sizes: meant for
+    small samples. Equal values have no exact rank-sum distribution here, so Mann-Whitney then says
+    "asymptotic"; for KS the exact p of equal values is an upper bound.
+    """
+    if method not in ("asymptotic", "exact"):
+        raise ValueError("method: asymptotic or exact")
+    stats = rank_tests(df, value, arm)
+    n, m = F.col("_n"), F.col("_m")
+    mw = F.least(normal_pvalue(F.greatest("mw_z", F.lit(0.0))), F.lit(1.0))
+    ks, mw_method = ks_pvalue(F.col("ks_stat"), n, m), F.lit("asymptotic")
+    if method == "exact":
+        ks = ks_exact_pvalue(F.col("ks_stat"), n, m)
+        mw = F.when(F.col("_tied"), mw).otherwise(mann_whitney_exact_pvalue(F.col("mw_u"), n, m))
+        mw_method = F.when(F.col("_tied"), "asymptotic").otherwise("exact")
+    return stats.select(
+        n.cast("bigint").alias("n_a"), m.cast("bigint").alias("n_b"), "mw_u", mw.alias("mw_p"), mw_method.alias("mw_method"),
+        "ks_stat", ks.alias("ks_p"), F.lit(method).alias("ks_method"))
+
+
+def oof_report(df: DataFrame, key: str, y: str, yhat: str, order: list[str], unique_key: bool = False) -> DataFrame:
+    """All diagnostics of out-of-fold predictions in one row: fit with its interval, normality,
+    heteroscedasticity and autocorrelation of the residual, with p-values."""
+    return with_residual_pvalues(residual_diagnostics(df, y, yhat, order)).crossJoin(bootstrap_r2(df, key, y, yhat, unique_key=unique_key))
+
+
 def _replicates(rows: DataFrame, names: list[str], sums: list[str], replicates: int, seed: int, unique_key: bool) -> DataFrame:
     """(rep, weighted sums): every row drawn a Poisson(1) number of times per replicate.
 

@@ -87,13 +87,21 @@ def ecdf(df: DataFrame, expr: str) -> DataFrame:
     return counts.selectExpr("value", "n", "(cum_n - 1) / nullif(tot_n - 1, 0) as height")
 
 
-def qq_points(df: DataFrame, expr: str, points: int = 1000) -> DataFrame:
+def qq_points(df: DataFrame, expr: str, points: int | None = 1000) -> DataFrame:
     """Normal quantiles at evenly spaced positions .01 .. .99 against order statistics.
 
-    At most ``points`` rows; a sample value is the exact order statistic at the
-    lower rank of its position.
+    At most ``points`` rows for a chart; a sample value is the exact order statistic at the
+    lower rank of its position. ``points=None``: every row has its own position. The rows of a
+    value that many share are dealt out in pieces.
     """
     counts = running_sums(value_counts(df.selectExpr(f"{expr} as x"), ["x"]), ["n"])
+    if points is None:
+        piece = 1000
+        pieces = counts.selectExpr("value", "cum_n - n as start", "cum_n", "tot_n", f"explode(sequence(0L, (n - 1) div {piece})) as part").repartition("start", "part")
+        rows = pieces.selectExpr(
+            "value as sample", "tot_n", f"explode(sequence(start + part * {piece}, least(start + (part + 1) * {piece}, cum_n) - 1)) as place")
+        out = rows.selectExpr("place", "0.01D + 0.98D * place / greatest(tot_n - 1, 1) as position", "sample")
+        return out.withColumn("theoretical", normal_quantile(F.col("position")))
     scale = f"cast({points - 1} as double) / greatest(tot_n - 1, 1)"
     hits = counts.selectExpr(
         "value", f"ceil((cum_n - n) * {scale}) as a",

@@ -281,6 +281,37 @@ def bootstrap_r2(spark, sf):
     return rounded(E.bootstrap_r2(X.wide_table(spark, sf), "row_id", "target", "champ", unique_key=True))
 
 
+@query("oof_report", f"{_RES}, h AS (SELECT *, hr * sqrt((n - 2) / (1 - hr * hr)) AS ht FROM jb), "
+       f"src AS (SELECT row_id, target - (SELECT avg(target) FROM wide) AS y, champ - (SELECT avg(target) FROM wide) AS p FROM wide), {S.replicate_ctes(_R2, 'src')}, "
+       f"ci AS (SELECT {S.r('quantile_cont(1 - sse / (s2 - s1 * s1 / n), 0.025)', 'oof_r2_ci95_low')}, {S.r('quantile_cont(1 - sse / (s2 - s1 * s1 / n), 0.975)', 'oof_r2_ci95_high')} FROM reps) "
+       f"SELECT n, {S.r('r2', 'oof_r2')}, oof_r2_ci95_low, oof_r2_ci95_high, {S.r('exp(-n / 12.0 * (sk * sk + ku * ku / 4))', 'jarque_bera_p')}, "
+       f"{S.r('hr', 'heteroscedasticity_r')}, {S.r(S.student_p('ht', '(n - 2.0)'), 'heteroscedasticity_p')}, {S.r('dw', 'durbin_watson')} FROM h, ci")
+def oof_report(spark, sf):
+    """The diagnostics bundle: fit and its interval, p-values, autocorrelation."""
+    out = E.oof_report(X.wide_table(spark, sf), "row_id", "target", "champ", ["dt", "row_id"], unique_key=True)
+    return rounded(out.select(
+        "n", "oof_r2", "oof_r2_ci95_low", "oof_r2_ci95_high", "jarque_bera_p", "heteroscedasticity_r", "heteroscedasticity_p", "durbin_watson"))
+
+
+# the exact p-values by going through all ways to deal the quarters to two arms
+@query("quarterly_exact_tests", f"""{WIDE}, qa AS (SELECT year(dt) * 4 + quarter(dt) AS quarter, avg(target) AS y FROM cur GROUP BY 1),
+rq AS (SELECT quarter % 2 AS arm, y, row_number() OVER (ORDER BY y) AS rank, count(*) OVER () AS n FROM qa),
+li AS (SELECT list(arm ORDER BY rank) AS arms, max(n) AS n, count(*) FILTER (arm = 0) AS na, count(*) FILTER (arm = 1) AS nb FROM rq),
+al AS (SELECT n, na, nb, list_transform(range(0, n), lambda i: CASE WHEN (s >> i) & 1 = 1 THEN 0 ELSE 1 END) AS arms
+  FROM (SELECT n, na, nb, unnest(range(0, (1 << n)::bigint)) AS s FROM li) WHERE bit_count(s) = na),
+st AS (SELECT arms, list_sum(list_transform(range(1, n + 1), lambda i: CASE WHEN arms[i] = 0 THEN i ELSE 0 END)) - na * (na + 1) / 2 AS u,
+  list_max(list_transform(range(1, n + 1), lambda i: abs(len(list_filter(arms[1:i], lambda a: a = 0)) * nb - len(list_filter(arms[1:i], lambda a: a = 1)) * na))) AS d, na, nb FROM al),
+ob AS (SELECT st.* FROM st JOIN li ON st.arms = li.arms)
+SELECT any_value(ob.na) AS n_a, any_value(ob.nb) AS n_b, {S.r('any_value(ob.u)::double', 'mw_u')},
+  {S.r('least(1.0, 2.0 * count(*) FILTER (st.u <= least(ob.u, ob.na * ob.nb - ob.u)) / count(*))', 'mw_p')}, 'exact' AS mw_method,
+  {S.r('any_value(ob.d)::double / any_value(ob.na * ob.nb)', 'ks_stat')}, {S.r('count(*) FILTER (st.d >= ob.d)::double / count(*)', 'ks_p')}, 'exact' AS ks_method FROM st, ob""")
+def quarterly_exact_tests(spark, sf):
+    """Quarters in turn as two small samples of mean targets, with exact p-values."""
+    quarters = X.current_side(X.wide_table(spark, sf)).groupBy(F.expr("year(dt) * 4 + quarter(dt)").alias("quarter")).agg(F.avg("target").alias("y"))
+    arms = stage(quarters.selectExpr("cast(quarter % 2 as int) as arm", "y"), "quarters")
+    return rounded(E.two_sample_tests(arms, "y", method="exact"))
+
+
 _PAIR = f"""{WIDE}, dd AS (SELECT champ - chall AS d, champ AS a, chall AS b FROM cur),
 sz AS (SELECT abs(d) AS v, count(*) AS n, count(*) FILTER (d > 0) AS up FROM dd WHERE d <> 0 GROUP BY 1),
 rkd AS (SELECT *, sum(n) OVER (ORDER BY v) - n + (n + 1) / 2.0 AS rank FROM sz),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.config import FEATURES
 from plumbline.functions import scalar
+from plumbline.functions.special import normal_pvalue
 from plumbline.operators import models, profile, regression, series, transforms
 from plumbline.operators.experiment import abs_diff_percentiles, bland_altman, bland_altman_points, outlier_verdict
 from plumbline.operators.longform import corr_sql, feature_columns, to_long
@@ -314,6 +315,18 @@ def qq_points(spark, sf):
     return series.qq_points(X.wide_table(spark, sf), "champ - chall")
 
 
+@query("qq_points_all", f"{WIDE}, o AS (SELECT champ - chall AS x, row_number() OVER (ORDER BY champ - chall) - 1 AS place, count(*) OVER () AS n FROM cur) "
+       f"SELECT place, {S.r('0.01::double + 0.98::double * place / greatest(n - 1, 1)', 'position')}, {S.r('x', 'sample')}, "
+       "true AS cdf_is_position FROM o")
+def qq_points_all(spark, sf):
+    """A point of every row; the normal distribution takes the theoretical quantile back to the position."""
+    out = series.qq_points(X.current_side(X.wide_table(spark, sf)), "champ - chall", points=None)
+    tail = normal_pvalue(F.col("theoretical")) / 2
+    cdf = F.when(F.col("theoretical") > 0, 1 - tail).otherwise(tail)
+    back = (F.abs(cdf - F.col("position")) < 1e-7).alias("cdf_is_position")
+    return rounded(out.select("place", "position", "sample", back))
+
+
 @query("abs_diff_percentiles", f"{WIDE} SELECT {S.r(f'quantile_cont({_D}, 0.5)', 'p50_abs_diff')}, {S.r(f'quantile_cont({_D}, 0.9)', 'p90_abs_diff')} FROM wide")
 def abs_diff_percentile_query(spark, sf):
     return rounded(abs_diff_percentiles(X.wide_table(spark, sf), "champ", "chall"))

@@ -91,3 +91,24 @@ def test_a_forest_draws_from_the_whole_table_and_is_saved_with_its_threshold(spa
     assert back.transform(df.where("k = '-'")).count() == 0
     whole = IsolationForest(trees=3, sample=256, keyCol="k", inputCols=["a"]).drawn(df.limit(100))
     assert whole.count() == 300  # a small table is in every tree
+
+
+def test_exact_p_values_count_all_arrangements(spark):
+    from itertools import combinations
+
+    from plumbline.functions.special import ks_exact, mann_whitney_exact
+
+    for n, m in ((3, 4), (5, 5), (1, 6)):
+        us, ds = [], []
+        for a in combinations(range(n + m), n):
+            arm = [0 if i in a else 1 for i in range(n + m)]
+            us.append(sum(a) + n - n * (n + 1) / 2)
+            ds.append(max(abs(arm[:i + 1].count(0) * m - arm[:i + 1].count(1) * n) for i in range(n + m)))
+        for u, d in zip(us, ds):
+            low = min(u, n * m - u)
+            assert mann_whitney_exact(u, n, m) == pytest.approx(min(1.0, 2 * sum(v <= low for v in us) / len(us)))
+            assert ks_exact(d / (n * m), n, m) == pytest.approx(sum(v >= d for v in ds) / len(ds))
+    assert ks_exact(0.1, 400, 300) == pytest.approx(0.058, abs=0.02)  # the limit distribution says 0.064
+    tied = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 2.0), (1, 3.0), (1, 4.0)], "arm int, y double")
+    row = experiment.two_sample_tests(tied, "y", method="exact").first()
+    assert (row.mw_method, row.ks_method) == ("asymptotic", "exact")
