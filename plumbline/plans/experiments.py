@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from plumbline.config import CANARY_STAGES, FEATURES, CanaryStage, CanaryThresholds
@@ -398,6 +400,30 @@ def promotion_gate(spark, sf):
     return gate.withColumn("failed_days", F.array_join("failed_days", ","))
 
 
+_EVEN = {1: 1.1, 2: 1.2, 3: 1.3, 4: 1.4}
+
+
+@query("gate_to_registry", f"{_canary(CANARY_STAGES, _EVEN, 20000.0)}, "
+       "g AS (SELECT count(*) FILTER (n_canary > 0) > 0 AND count(*) FILTER (len(fails) > 0) = 0 AS ok FROM fl), "
+       "b AS (SELECT avg(pow(target - chall, 2)) < avg(pow(target - champ, 2)) AS ok FROM cur) "
+       "SELECT 'canary' AS gate, g.ok AS passed, (CASE WHEN g.ok THEN 2 ELSE 1 END)::INT AS production FROM g "
+       "UNION ALL SELECT 'redeploy', b.ok, (CASE WHEN b.ok THEN 3 WHEN g.ok THEN 2 ELSE 1 END)::INT FROM g, b")
+def gate_to_registry(spark, sf):
+    """Gates that act: the canary's verdict on version 2, then the validation table's on version 3."""
+    registry = runlog.Registry(spark, f"{shared_dir(spark)}/registry-{uuid.uuid4().hex}")
+    versions = [registry.register("scorer", Pipeline(stages=[SQLTransformer(statement=f"select *, {rule} as prediction from __THIS__")]).fit(spark.range(1)))
+                for rule in ("champ", "chall", "chall")]
+    registry.set_alias("scorer", versions[0], "Production")
+    cur = X.current_side(X.wide_table(spark, sf))
+    better = C.better_on_validation(*[
+        cur.agg(F.expr(f"1 - avg(pow(target - {p}, 2)) / var_pop(target) as r2")) for p in ("chall", "champ")])
+    rows = []
+    for gate, version, verdict, passed in (
+        ("canary", versions[1], C.promotion_gate(_decisions(spark, sf, CANARY_STAGES, _EVEN, _SCALED)), "promoted"), ("redeploy", versions[2], better, "redeploy")):
+        rows.append((gate, registry.apply_gate("scorer", version, verdict, passed), registry.resolve("scorer", "Production")))
+    return spark.createDataFrame(rows, "gate string, passed boolean, production int")
+
+
 _SERVED = ", ".join(f"({s.day}, {C.stage_share(s)!r}::double)" for s in CANARY_STAGES)
 
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.sources.tables import exists
+from plumbline.sources.tables import _files, exists
 
 RUN_SCHEMA = "run_id string, run_name string, stage string, kind string, key string, value string, ts timestamp"
 EVENT_SCHEMA = "name string, version bigint, event string, key string, value string, event_ts timestamp, seq bigint"
@@ -51,8 +53,26 @@ def latest_runs(runs: DataFrame, family: str, start: str, run: str) -> DataFrame
     return runs.groupBy(family).agg(newest).select(family, f"r.{run}", f"r.{start}")
 
 
+def claim(spark: SparkSession, folder: str, first: int) -> int:
+    """The first number from ``first`` on that nobody has claimed in ``folder``; now it is claimed."""
+    number = first
+    while True:
+        fs, where, _ = _files(spark, f"{folder}/{number}")
+        try:
+            fs.create(where, False).close()
+            return number
+        except Py4JJavaError as taken:
+            if not fs.exists(where):
+                raise taken
+            number += 1
+
+
 class Registry:
-    """Model versions, tags and aliases as events; the last event per alias wins."""
+    """Model versions, tags and aliases as events; the last event per alias wins.
+
+    Numbers of versions and events are claimed by creating a file that must not exist, so two
+    writers at once get different ones; each writes its events into a folder of their own.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -60,16 +80,20 @@ class Registry:
     def events(self) -> DataFrame:
         if not exists(self.spark, f"{self.path}/events"):
             return self.spark.createDataFrame([], EVENT_SCHEMA)
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(f"{self.path}/events")
+        return self.spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{self.path}/events")
 
     def _append(self, rows: list[tuple]) -> None:
         last = self.events().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        data = [(*r, now, last + i) for i, r in enumerate(rows, 1)]
-        self.spark.createDataFrame(data, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/events")
+        data = []
+        for r in rows:
+            last = claim(self.spark, f"{self.path}/claims/events", last + 1)
+            data.append((*r, now, last))
+        self.spark.createDataFrame(data, EVENT_SCHEMA).coalesce(1).write.parquet(f"{self.path}/events/{uuid.uuid4().hex}")
 
     def register(self, name: str, model: PipelineModel, tags: dict | None = None) -> int:
         version = self.events().where(F.col("name") == name).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] + 1
+        version = claim(self.spark, f"{self.path}/claims/{name}", version)
         model.write().overwrite().save(f"{self.path}/models/{name}/{version}")
         self._append([(name, version, "register", None, None)]
                      + [(name, version, "tag", k, str(v)) for k, v in (tags or {}).items()])
@@ -85,7 +109,7 @@ class Registry:
         self._append([(name, version, "stage", stage, None)])
 
     def resolve(self, name: str, alias: str) -> int:
-        """Version of the alias or, where it was never set, of the stage of that name."""
+        """Version of the alias or, where it was never set, of the stage of that name; a deleted alias has none."""
         now = current_aliases(
             self.events().where((F.col("name") == name) & (F.col("key") == alias)).where(
                 F.col("event").isin("alias", "stage")
@@ -93,7 +117,7 @@ class Registry:
             ["name", "event"], "version", ["event_ts", "seq"],
         ).collect()
         found = {r["event"]: r["version"] for r in now}
-        version = found.get("alias") or found.get("stage")
+        version = found["alias"] if "alias" in found else found.get("stage")
         if version is None:
             raise LookupError(f"{name}@{alias} is not registered")
         return version
@@ -120,6 +144,17 @@ class Registry:
         self._append(rows)
 
 
+    def apply_gate(self, name: str, challenger: int, verdict: DataFrame, passed: str = "promoted") -> bool:
+        """Acts on the one row of a promotion or redeployment gate: promotes, or keeps the champion and records that."""
+        row = verdict.select(passed).first()
+        go = bool(row and row[0])
+        if go:
+            self.promote(name, challenger)
+        else:
+            self._append([(name, challenger, "tag", "gate", "kept_champion")])
+        return go
+
+
 def current_aliases(events: DataFrame, keys: list[str], version: str, order: list[str]) -> DataFrame:
     return events.groupBy(*keys).agg(F.expr(
         f"max_by(struct({version}), struct({', '.join(order)})).{version}"

@@ -112,3 +112,30 @@ def test_exact_p_values_count_all_arrangements(spark):
     tied = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 2.0), (1, 3.0), (1, 4.0)], "arm int, y double")
     row = experiment.two_sample_tests(tied, "y", method="exact").first()
     assert (row.mw_method, row.ks_method) == ("asymptotic", "exact")
+
+
+def test_two_writers_get_different_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml import Pipeline
+
+    from plumbline.sources.runlog import Registry, claim
+
+    model = Pipeline(stages=[]).fit(spark.range(1))
+    writers = [Registry(spark, str(tmp_path / "r")) for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda w: w.register("m", model), writers))
+    assert sorted(versions) == [1, 2, 3, 4]
+    seqs = [r.seq for r in writers[0].events().collect()]
+    assert len(seqs) == len(set(seqs)) == 4
+    assert claim(spark, str(tmp_path / "r/claims/m"), 1) == 5
+    one = writers[0]
+    one.set_stage("m", 1, "Production")
+    assert one.resolve("m", "Production") == 1
+    one.set_alias("m", 2, "Production")
+    one.delete_alias("m", "Production")
+    with pytest.raises(LookupError):
+        one.resolve("m", "Production")
+    verdict = spark.createDataFrame([(False,)], "promoted boolean")
+    assert not one.apply_gate("m", 3, verdict) and one.tags("m", 3).first()["value"] == "kept_champion"
+    assert one.apply_gate("m", 3, spark.createDataFrame([(True,)], "promoted boolean")) and one.resolve("m", "Production") == 3
