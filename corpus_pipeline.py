@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,23 +17,29 @@ from plumbline.session import shared_dir
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _hashed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the text's hash in a column of a name that is free, and that name."""
+    name = next(f"_h{i}" for i in count() if f"_h{i}" not in docs.columns)
+    return docs.withColumn(name, F.xxhash64("text")), name
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects. The verdict is joined by id and text."""
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    keyed, h = _hashed(docs)
     # the ledger is written; policies only read its bits (a filter on them must not reach the rules' expressions)
-    rows = stage(quality.ledger(keyed.select(F.struct("doc_id", "_h").alias("key"), "text"), "key"), "ledger")
+    rows = stage(quality.ledger(keyed.select(F.struct("doc_id", F.col(h).alias("_h")).alias("key"), "text"), "key"), "ledger")
     verdicts = quality.apply_policy(rows)
-    good = verdicts.where("kept").select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id._h").alias("_h")).distinct()
-    return match(keyed, good, ["doc_id", "_h"], "left_semi").select(*docs.columns)
+    good = verdicts.where("kept").select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id._h").alias(h)).distinct()
+    return match(keyed, good, ["doc_id", h], "left_semi").select(*docs.columns)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network doesn't call toxic; it learns from the labels of ``documents`` that aren't held out."""
     net = toxicity.trained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    scores = toxicity.scored(keyed.select(F.struct("doc_id", "_h").alias("key"), "text"), net, "key")
-    good = scores.where("predicted = 0").select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id._h").alias("_h")).distinct()
-    return match(keyed, good, ["doc_id", "_h"], "left_semi").select(*docs.columns)
+    keyed, h = _hashed(docs)
+    scores = toxicity.scored(keyed.select(F.struct("doc_id", F.col(h).alias("_h")).alias("key"), "text"), net, "key")
+    good = scores.where("predicted = 0").select(F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id._h").alias(h)).distinct()
+    return match(keyed, good, ["doc_id", h], "left_semi").select(*docs.columns)
 
 
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +51,7 @@ def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id; rows that share this id all stay."""
     found = jaccard_join.near_duplicates(docs)
     extra = found.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)

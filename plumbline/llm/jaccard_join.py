@@ -67,7 +67,7 @@ def _buckets(index: DataFrame, groups: DataFrame, comps: DataFrame) -> DataFrame
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = simjoin.named(df, id_col, text_col).select("id", "text")
     sieved = stage(simjoin.sieve(rows, words_of), "sieved")
     sets = simjoin.near_sets(rows, sieved, words_of)
     members, heads = simjoin.representatives(sets)
@@ -121,13 +121,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # back to documents: key -> head -> component, named by its smallest document
     heads_ = members.join(comps.withColumnsRenamed({"key": "head"}), "head", "left").select(
         "key", F.coalesce("comp", "head").alias("comp"))
-    ids = sets.select("key", "id").distinct().join(heads_, "key").select("id", "comp")
+    ids = sets.select("key", F.col("id.id").alias("id")).distinct().join(heads_, "key").select("id", "comp")
     # rows that share an id are one node: their components are joined
     twice = ids.groupBy("id").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
     across = components(twice.where("a < b").select("a", "b")).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
     ids = stage(ids.join(across, "comp", "left").select("id", F.coalesce("into", "comp").alias("comp")).distinct(), "ids")
     names = ids.groupBy("comp").agg(F.min("id").alias("component_id"))
     named = ids.join(names, "comp").select("id", "component_id").distinct()
-    return sieved.join(named, "id", "left").select(
+    return sieved.withColumn("id", F.col("id.id")).join(named, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"))

@@ -44,8 +44,9 @@ def _crowded(index: DataFrame, left: DataFrame) -> bool:
 
 
 def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, no, of_doc, of_no): each line to remove and an earlier line that it matches."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """(doc_id, no, of_doc, of_no): each line to remove and an earlier line that it matches; ``text_hash`` tells
+    texts that share an id apart."""
+    rows = simjoin.named(df, id_col, text_col).select("id", "text")
     cut = lines_of(min_words)
     sieved = simjoin.sieve(rows, cut)
     sets = simjoin.near_sets(rows, sieved, cut)
@@ -84,16 +85,24 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         "key", F.when(F.col("key") > F.col("head"), F.col("head")).otherwise(F.col("a")).alias("of")).where("of IS NOT NULL")
     places = sets.select("key", "id", "no").distinct()
     return stage(
-        near.join(places, "key").select(F.col("id").alias("doc_id"), "no", "of")
-        .join(places.select(F.col("key").alias("of"), F.col("id").alias("of_doc"), F.col("no").alias("of_no")), "of")
+        near.join(places, "key").select(F.col("id.id").alias("doc_id"), F.col("id.hash").alias("text_hash"), "no", "of")
+        .join(places.select(F.col("key").alias("of"), F.col("id.id").alias("of_doc"), F.col("no").alias("of_no")), "of")
         .drop("of"), "lines")
 
 
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``df`` with its text less the lines to remove, and ``removed_lines``, their numbers in order."""
-    gone = matches(df, id_col, text_col, min_words).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("no")).alias("_gone")).withColumnRenamed("doc_id", "_id")
-    marked = df.join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda s, i: ~F.array_contains("_gone", i)), "\n")
-    return marked.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)).withColumn(
-        "removed_lines", F.coalesce("_gone", F.array().cast("array<int>"))).drop("_gone")
+    """``df`` with its text less the lines to remove, and ``removed_lines``, their numbers in order.
+
+    A column of that name in ``df`` is replaced; all others stay, whatever their names.
+    """
+    gone = matches(df, id_col, text_col, min_words).groupBy("doc_id", "text_hash").agg(
+        F.array_sort(F.collect_set("no")).alias("gone"))
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"))
+    marked = rows.join(gone, (F.col("id") == F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
+    text = F.col("row").getField(text_col)
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda s, i: ~F.array_contains("gone", i)), "\n")
+    return marked.select(
+        *[(F.when(F.col("gone").isNull(), text).otherwise(kept) if c == text_col else F.col("row").getField(c)).alias(c)
+          for c in df.columns if c != "removed_lines"],
+        F.coalesce("gone", F.array().cast("array<int>")).alias("removed_lines"))

@@ -23,6 +23,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -140,19 +141,21 @@ def sweeps(sizes: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, i
 def best_fit(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``sequence_id`` and ``offset`` for rows with a ``length`` of 1 to ``capacity``; other columns stay.
 
-    Rows are ordered by length and then by ``doc_id``, ``piece`` and ``start``.
+    Rows are ordered by length and then by ``doc_id``, ``piece`` and ``start``. Columns named like the two
+    results are replaced.
     """
     spark = rows.sparkSession
-    rows = stage(rows, "pieces")  # the range shuffle reads its input twice, once for the bounds
+    at_name = next(f"_at{i}" for i in count() if f"_at{i}" not in rows.columns)
+    rows = stage(rows.drop("sequence_id", "offset"), "pieces")  # the range shuffle reads its input twice, once for the bounds
     order = ["length", "doc_id", "piece"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = stage(
         rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()), "ranges")
+        .withColumn(at_name, F.monotonically_increasing_id()), "ranges")
     # a number for each range and length: at most the ranges plus ``capacity`` rows
     runs = sorted(
-        placed.groupBy("length", F.shiftright("_at", 33).alias("part"))
-        .agg(F.min("_at").alias("first"), F.count("*").alias("n")).collect(),
+        placed.groupBy("length", F.shiftright(at_name, 33).alias("part"))
+        .agg(F.min(at_name).alias("first"), F.count("*").alias("n")).collect(),
         key=lambda r: (r["length"], r["part"]))
     sizes: dict[int, int] = defaultdict(int)
     first_at, rank_at = [], []
@@ -169,7 +172,7 @@ def best_fit(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("_at").to_numpy(zero_copy_only=False)
+            at = batch.column(at_name).to_numpy(zero_copy_only=False)
             length = batch.column("length").to_numpy(zero_copy_only=False)
             k = np.searchsorted(first_of, at, "right") - 1
             rank = rank_of[k] + at - first_of[k]

@@ -211,6 +211,14 @@ def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut) -> DataFrame:
     return stage(texts.mapInArrow(build, f"key bigint, id {kind}, no int, n bigint, sign binary, elements array<bigint>"), "sets")
 
 
+def named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) with ``id`` of the row's id and its text's hash, so that texts that share an id keep apart;
+    null where the id is null."""
+    text = F.col(text_col).cast("string")
+    both = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
+    return df.select(F.when(F.col(id_col).isNotNull(), both).alias("id"), text.alias("text"), F.col(id_col).alias("plain"))
+
+
 def representatives(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, head) of every set, ``head`` being the first equal set; and the heads with their elements."""
     heads = sets.groupBy("sign", "n").agg(F.min("key").alias("head"))
