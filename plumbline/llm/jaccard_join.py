@@ -4,11 +4,13 @@ After the sieve, equal sets fold into one head. Heads with the same size and the
 a group; only groups meet in the index of prefix elements, where length and positional filters
 reject pairs of groups; what is left is expanded to members and verified one by one.
 
-Links matter only as far as they connect. Each bucket of the index first compares its members
-with one hub; members that are connected by then need no further comparison with each other, and
-a bucket whose members are all connected is done. Whatever remains unconnected is compared in
-full, so no link between different components is lost, while a family of thousands of near copies
-takes one comparison for each member and not one for each pair.
+Links matter only as far as they connect. Each bucket of the index has a hub; a group is compared
+with the nearest of its buckets' hubs, by the distance of bitmaps, which is never above that of the
+sets, so that too far a pair is rejected unread. Members that are connected by then need no further
+comparison with each other, and a bucket whose members are all connected is done. After a few rounds
+whatever remains unconnected meets in full, bitmaps first, so no link between different components
+is lost, while a family of thousands of near copies takes a comparison for each member and round
+and not one for each pair.
 
 Null and empty texts and texts without words have an empty set and link with nothing. Rows with
 the same id are one node. A row with a null id keeps its size and gets a null component. An empty
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 from plumbline.llm import simjoin
 from plumbline.llm.common import stage
 
-HUB_ROUNDS = 2
+HUB_ROUNDS = 4
+#: 64-bit words of a text's bitmap.
+WORDS = 8
 
 
 def words_of(text: bytes) -> list[tuple[int, list[bytes]]]:
@@ -55,7 +59,8 @@ def components(edges: DataFrame) -> DataFrame:
 def _buckets(index: DataFrame, groups: DataFrame, comps: DataFrame) -> DataFrame:
     """The index with each group's components, of those buckets that aren't all connected yet."""
     state = groups.join(comps, "key").groupBy("group").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("key", "comp"), "key").alias("first"))
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"),
+        F.min_by(F.struct("key", "comp", "bits"), "key").alias("first"))
     rows = index.join(state, "group")
     open_ = rows.groupBy("element").agg(
         F.min("lo").alias("least"), F.max("hi").alias("most"),
@@ -69,54 +74,75 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
     sieved = stage(simjoin.sieve(rows, words_of), "sieved")
-    sets = simjoin.near_sets(rows, sieved, words_of)
+    sets = simjoin.near_sets(rows, sieved, words_of, WORDS)
     members, heads = simjoin.representatives(sets)
     prefixes = simjoin.prefix_index(heads)
 
     # groups: same size, same prefix; a set with elements of its own in the prefix is alone
     alone = F.when(F.col("unique") > 0, F.col("key"))
     grouped = prefixes.withColumn("name", F.md5(F.concat_ws(",", "n", F.coalesce(alone, F.lit(-1)), F.concat_ws(",", F.col("prefix").cast("array<string>")))))
-    groups = stage(grouped.select(F.col("name").alias("group"), "key", "n", "unique", "prefix"), "groups")
+    groups = stage(grouped.select(F.col("name").alias("group"), "key", "n", "unique", "prefix", "bits"), "groups")
     index = stage(
         groups.groupBy("group").agg(*[F.first(c).alias(c) for c in ("n", "unique", "prefix")])
         .select("group", "n", "unique", F.posexplode("prefix").alias("_at", "element"))
         .select("group", "n", "unique", (F.col("unique") + F.col("_at")).alias("at"), "element"), "index")
-    groups = groups.select("group", "key")
+    groups = groups.select("group", "key", "n", "bits")
 
     comps = groups.select("key", F.col("key").alias("comp"))
-    tried = None
+    tried, whole = None, False
     for turn in range(HUB_ROUNDS + 1):
+        whole = whole or turn == HUB_ROUNDS
         rows_ = _buckets(index, groups, comps)
         if rows_.isEmpty():  # all that share a bucket are connected
             break
         hub = "hub" if turn % 2 == 0 else "hub2"
         own = groups.join(comps, "key")
-        if turn < HUB_ROUNDS:
+        if not whole:
+            # of all hubs in its buckets, a group meets the nearest one by bitmap
             met = rows_.where(f"NOT (lo = hi AND lo = {hub}.first.comp)").where(
-                simjoin.can_link("n", "at", f"{hub}.n", f"{hub}.at")).select(
-                F.col(f"{hub}.first.key").alias("x"), F.col(f"{hub}.first.comp").alias("cx"), "group").distinct()
+                simjoin.can_link("n", "at", f"{hub}.n", f"{hub}.at")).where(
+                (F.col("members") > 1) | simjoin.may_link("n", "first.bits", f"{hub}.n", f"{hub}.first.bits", WORDS)).select(
+                "group", F.struct(
+                    simjoin.far("first.bits", f"{hub}.first.bits", WORDS).alias("far"),
+                    F.col(f"{hub}.first.key").alias("x"), F.col(f"{hub}.first.comp").alias("cx")).alias("nearest"))
+            if tried is not None:  # pairs that were compared before leave the choice to others
+                before = tried.select(F.col("a").alias("x"), F.col("b").alias("y")).union(tried.select("b", "a"))
+                gone = before.join(groups.select(F.col("key").alias("y"), "group"), "y").select("group", "x").distinct()
+                met = met.withColumn("x", F.col("nearest.x")).join(gone, ["group", "x"], "left_anti")
+            met = met.groupBy("group").agg(F.min("nearest").alias("nearest")).select("group", "nearest.x", "nearest.cx")
             pairs = met.join(own, "group").where("cx <> comp").select("x", F.col("key").alias("y"))
         else:
             sizes = rows_.groupBy("element", "lo").agg(F.count("*").alias("c")).groupBy("element").agg(
                 F.max(F.struct("c", "lo"))["lo"].alias("main"))
             rows_ = stage(rows_.join(sizes, "element").withColumn("in_main", F.expr("lo = hi AND lo = main")).select(
-                "element", "group", "n", "at", "lo", "hi", "in_main"), "rest")
+                "element", "group", "n", "at", "lo", "hi", "in_main", "members", F.col("first.bits").alias("bits")), "rest")
             l, r = rows_.where("NOT in_main").alias("l"), rows_.alias("r")
             met = l.join(r, F.expr(
                 "l.element = r.element AND (r.in_main OR l.group <= r.group) AND NOT (l.lo = l.hi AND r.lo = r.hi AND l.lo = r.lo)"
-            )).where(simjoin.can_link("l.n", "l.at", "r.n", "r.at")).select(F.col("l.group").alias("group"), F.col("r.group").alias("other")).distinct()
-            one, two = own.withColumnsRenamed({"key": "x", "comp": "cx"}), own.withColumnRenamed("group", "other")
-            pairs = met.join(one, "group").join(two, "other").where("cx <> comp").select("x", F.col("key").alias("y"))
+            ) & simjoin.can_link("l.n", "l.at", "r.n", "r.at") & (
+                F.expr("l.members > 1 OR r.members > 1") | simjoin.may_link("l.n", "l.bits", "r.n", "r.bits", WORDS))
+            ).select(F.col("l.group").alias("group"), F.col("r.group").alias("other")).distinct()
+            one = own.withColumnsRenamed({"key": "x", "comp": "cx", "n": "nx", "bits": "bx"})
+            two = own.withColumnRenamed("group", "other")
+            pairs = met.join(one, "group").join(two, "other").where("cx <> comp").where(
+                simjoin.may_link("nx", "bx", "n", "bits", WORDS)).select("x", F.col("key").alias("y"))
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         done = simjoin.verified(pairs, heads, "verified")
         tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
+        if done.where("linked").isEmpty():  # hubs bring no more
+            if whole:
+                break
+            whole = True
+            continue
         # contract: links between components join them
         ends = done.where("linked").join(comps.withColumnsRenamed({"key": "a", "comp": "ca"}), "a").join(
             comps.withColumnsRenamed({"key": "b", "comp": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         merged = components(ends).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
         comps = stage(comps.join(merged, "comp", "left").select("key", F.coalesce("into", "comp").alias("comp")), "comps")
+        if whole:
+            break
 
     # back to documents: key -> head -> component, named by its smallest document
     heads_ = members.join(comps.withColumnsRenamed({"key": "head"}), "head", "left").select(

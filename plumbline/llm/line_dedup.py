@@ -25,6 +25,8 @@ from plumbline.llm.common import stage
 MIN_WORDS = 5
 #: Rounds of one comparison a line and bucket before the rest is compared in full.
 HUB_ROUNDS = 5
+#: 64-bit words of a line's bitmap.
+WORDS = 4
 
 
 def lines_of(min_words: int) -> simjoin.Cut:
@@ -49,35 +51,40 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
     cut = lines_of(min_words)
     sieved = simjoin.sieve(rows, cut)
-    sets = simjoin.near_sets(rows, sieved, cut)
+    sets = simjoin.near_sets(rows, sieved, cut, WORDS)
     members, heads = simjoin.representatives(sets)
     prefixes = simjoin.prefix_index(heads)
-    index = stage(
-        prefixes.select("key", "n", "unique", F.posexplode("prefix").alias("_at", "element"))
-        .select("key", "n", (F.col("unique") + F.col("_at")).alias("at"), "element"), "index")
+    places_ = prefixes.select("key", "n", "bits", "unique", F.posexplode("prefix").alias("_at", "element")).select(
+        "key", "n", "bits", (F.col("unique") + F.col("_at")).alias("at"), "element")
+    met_twice = places_.groupBy("element").agg(F.count("*").alias("lines")).where("lines > 1").select("element")
+    index = stage(places_.join(met_twice, "element"), "index")
 
     # In each bucket the earliest line, then the earliest of those that matched none, is held
-    # against the later ones without a match; few lines are left where a passage has many variants.
+    # against the later ones without a match: each line is compared with the nearest, by bitmap, of
+    # the lines that its buckets hold against it. Few are left where a passage has many variants.
     open_, found, tried = index, None, None
     for turn in range(HUB_ROUNDS):
-        hubs = open_.groupBy("element").agg(F.min(F.struct("key", "n", "at")).alias("hub"))
-        met = stage(open_.join(hubs, "element").where("key > hub.key"), "met")
-        pairs = met.where(simjoin.can_link("n", "at", "hub.n", "hub.at")).select(
-            F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
+        hubs = open_.groupBy("element").agg(F.min(F.struct("key", "n", "at", "bits")).alias("hub"), F.count("*").alias("lines"))
+        met = open_.join(hubs.where("lines > 1").drop("lines"), "element")
+        near = met.where("key > hub.key").where(simjoin.can_link("n", "at", "hub.n", "hub.at")).where(
+            simjoin.may_link("n", "bits", "hub.n", "hub.bits", WORDS)).select(
+            F.col("key").alias("b"), F.col("hub.key").alias("a"), simjoin.far("bits", "hub.bits", WORDS).alias("far"))
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            near = near.join(tried, ["a", "b"], "left_anti")
+        pairs = near.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b")
         done = simjoin.verified(pairs, heads, "first")
-        new = done.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a")
+        new = done.where("linked").select("b", "a")
         found = stage(new if found is None else found.union(new), "found")
         tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
         left = index.join(found.select(F.col("b").alias("key")), "key", "left_anti")
-        if not _crowded(index, left):
+        if turn + 1 == HUB_ROUNDS or not _crowded(index, left):
             break
-        open_ = met.join(found.select(F.col("b").alias("key")), "key", "left_anti").select(*index.columns)
+        open_ = stage(met.where("key > hub.key").join(found.select(F.col("b").alias("key")), "key", "left_anti").select(*index.columns), "open")
     # lines that found none, with all earlier ones
     l, r = index.alias("l"), left.alias("r")
-    rest = l.join(r, F.expr("l.element = r.element AND l.key < r.key")).where(
-        simjoin.can_link("l.n", "l.at", "r.n", "r.at")).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
+    rest = l.join(r, F.expr("l.element = r.element AND l.key < r.key") & simjoin.can_link("l.n", "l.at", "r.n", "r.at")
+                  & simjoin.may_link("l.n", "l.bits", "r.n", "r.bits", WORDS)).select(
+        F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
     more = simjoin.verified(rest.join(tried, ["a", "b"], "left_anti"), heads, "more")
     found = found.union(more.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a"))
 

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import binary, ranked, slices, stage, task_id
@@ -181,9 +181,33 @@ def sieve(rows: DataFrame, cut: Cut) -> DataFrame:
     return met.groupBy("block").applyInArrow(judge, f"id {kind.simpleString()}, no int, n bigint, near boolean")
 
 
-def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut) -> DataFrame:
+def bitmaps(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """A row of ``words`` 64-bit words for each set: bit b is the parity of the number of elements that fall on b.
+
+    Each element that only one of two sets has flips one bit, so the bits in which two bitmaps differ
+    are never more than the elements in which the sets differ.
+    """
+    bits = 64 * words
+    owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(x) for x in sets])
+    place = (np.concatenate([*sets, np.zeros(0, np.uint64)]) & np.uint64(bits - 1)).astype(np.int64)
+    parity = (np.bincount(owner * bits + place, minlength=bits * len(sets)) & 1).astype(np.uint8)
+    return np.packbits(parity).view(np.int64).reshape(len(sets), words)
+
+
+def far(x: str, y: str, words: int) -> Column:
+    """In how many bits two bitmaps differ."""
+    return F.expr(" + ".join(f"bit_count({x}.b{i} ^ {y}.b{i})" for i in range(words)))
+
+
+def may_link(n1: str, x: str, n2: str, y: str, words: int) -> Column:
+    """Bitmap filter: sets that link differ in at most n1 + n2 less twice the overlap they need."""
+    return far(x, y, words) <= F.expr(f"{n1} + {n2} - 2 * (({PERCENT} * ({n1} + {n2}) + {99 + PERCENT}) div {100 + PERCENT})")
+
+
+def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut, words: int) -> DataFrame:
     """The sets that the sieve left, numbered in the order of (id, no): ``key``, ``id``, ``no``,
-    ``n``, ``sign`` (16 bytes of the set) and ``elements``."""
+    ``n``, ``sign`` (16 bytes of the set), ``bits`` (its bitmap of ``words`` words) and ``elements``."""
+    fields = [f"b{i}" for i in range(words)]
     left = stage(ranked(sieved.where("near AND id IS NOT NULL").select("id", "no").distinct(), ["id", "no"], "key"), "near")
     wanted = left.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("no", "key"))).alias("keys"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -199,16 +223,19 @@ def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut) -> DataFrame:
                 nos += [no for _, no in names]
                 key += [wanted[i][no] for i, no in names]
                 elements += shingles(sets)
-            ends = np.cumsum([0, *map(len, elements)])
+            ends, bits = np.cumsum([0, *map(len, elements)]), bitmaps(elements, words)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key, pa.int64()), batch.column(0).take(pa.array(at, pa.int64())), pa.array(nos, pa.int32()),
                 pa.array([len(e) for e in elements], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(e.tobytes()) for e in elements], pa.binary()),
+                pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(bits[:, i])) for i in range(words)], fields),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*elements, np.zeros(0, np.uint64)]).view(np.int64))),
-            ], ["key", "id", "no", "n", "sign", "elements"])
+            ], ["key", "id", "no", "n", "sign", "bits", "elements"])
 
     texts = rows.select("id", "text").join(wanted, "id").select("id", "text", "keys")
-    return stage(texts.mapInArrow(build, f"key bigint, id {kind}, no int, n bigint, sign binary, elements array<bigint>"), "sets")
+    words_ = ", ".join(f"{f}: bigint" for f in fields)
+    return stage(texts.mapInArrow(
+        build, f"key bigint, id {kind}, no int, n bigint, sign binary, bits struct<{words_}>, elements array<bigint>"), "sets")
 
 
 def named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -223,12 +250,12 @@ def representatives(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(key, head) of every set, ``head`` being the first equal set; and the heads with their elements."""
     heads = sets.groupBy("sign", "n").agg(F.min("key").alias("head"))
     members = stage(sets.select("key", "sign", "n").join(heads, ["sign", "n"]).select("key", "head").distinct(), "members")
-    own = sets.join(members.select(F.col("head").alias("key")).distinct(), "key").select("key", "n", "elements")
+    own = sets.join(members.select(F.col("head").alias("key")).distinct(), "key").select("key", "n", "bits", "elements")
     return members, stage(own.dropDuplicates(["key"]), "heads")
 
 
 def prefix_index(heads: DataFrame) -> DataFrame:
-    """Prefixes of the heads in the order of rarity: ``key``, ``n``, ``unique``, ``prefix``.
+    """Prefixes of the heads in the order of rarity: ``key``, ``n``, ``unique``, ``prefix``, ``bits``.
 
     Elements of one set only come first in that order and lead nowhere, so they are counted
     (``unique``) and not listed. Sets whose prefix holds nothing else are left out.
@@ -242,10 +269,11 @@ def prefix_index(heads: DataFrame) -> DataFrame:
         .withColumn("take", F.expr(f"n - ((n * {PERCENT} + 99) div 100) + 1 - unique").cast("int"))
         .where("take > 0")
     )
-    return stage(rare.select("key", "n", "unique", F.slice("order.element", 1, F.col("take")).alias("prefix")), "prefixes")
+    cut = rare.select("key", "n", "unique", F.slice("order.element", 1, F.col("take")).alias("prefix"))
+    return stage(cut.join(heads.select("key", "bits"), "key"), "prefixes")
 
 
-def can_link(n1: str, at1: str, n2: str, at2: str):
+def can_link(n1: str, at1: str, n2: str, at2: str) -> Column:
     """Length filter, and the positional filter at one common element: what comes before it and after it bounds the overlap."""
     least = f"((({PERCENT} * ({n1} + {n2})) + {99 + PERCENT}) div {100 + PERCENT})"
     return F.expr(
