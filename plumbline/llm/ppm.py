@@ -9,10 +9,12 @@ its first byte, in which the followers already ruled out no longer count. Below
 all bytes not yet ruled out are equally likely. The code length of a text is the sum.
 
 Everything counted comes from all training rows and grows with them. Scan tasks gather texts in
-blocks, count words and byte grams per block, and pack the block's texts. Counts are then
-summed, the trie's nodes and escapes are joins and aggregates over the distinct grams, and
-each block is sent the counts and probabilities of exactly what occurs in it: no task and no
-driver holds the model.
+blocks, count words and byte grams per block, and pack the block's texts and its sorted grams.
+Bounds taken from every 1,024th gram of each block cut the grams into ranges of about equal weight;
+what a block has in a range travels as one packed row. A range sums its blocks, works out its part
+of the trie (``context_trie``) and answers each block with the chances of exactly what occurs in it:
+no task and no driver holds the model. A range that one context makes too heavy is shared by more
+groups of blocks, each with the range's sums.
 
 Null and empty texts are one end token. Rows are scored one by one, so null ids, ties and repeated
 rows stay; a null id counts as the empty text for the split. Without training rows all bytes are
@@ -33,12 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import binary, slices, stage, task_id
+from plumbline.llm.context_trie import ORDER, cut_contexts, edges, log_chances, merged, pack, unpack
 
-ORDER = 5
 #: Bytes of text in a block, unless one text is longer.
 BLOCK_BYTES = 16_000_000
 #: Positions looked at together.
 STRIP = 1_000_000
+#: Grams of a block in one packed row, and how many grams one mark stands for.
+PIECE, MARK = 1 << 20, 1024
+#: Grams, counted once a block, that a range is meant to hold, and that a group may hold.
+RANGE_GRAMS, GROUP_GRAMS = 500_000, 8_000_000
 END = b"\n"
 
 
@@ -58,8 +64,8 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(t) + ORDER for t in texts])
     raw = np.frombuffer(b"".join([END * ORDER + t for t in texts]), np.uint8)
     gram = np.zeros(len(raw), np.int64)
-    for k in range(ORDER + 1):
-        gram[ORDER:] |= raw[ORDER - k: len(raw) - k].astype(np.int64) << (8 * k)
+    for k in range(ORDER + 1):  # the byte itself lowest, the nearest byte before it highest
+        gram[ORDER:] |= raw[ORDER - k: len(raw) - k].astype(np.int64) << (8 * (ORDER + 1 - k) if k else 0)
     ends = np.cumsum(lengths)
     inside = np.ones(len(raw), bool)
     for k in range(ORDER):
@@ -79,22 +85,18 @@ def _strips(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield own
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
-
-
 def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
-    """Per block: its packed texts, and every word and gram in it with its count in training texts."""
+    """Per block: its packed texts, every word in it with its count in training texts, and the same of its grams, packed in order."""
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"kind string, block string, word binary, gram bigint, n bigint, ids array<{kind}>, texts binary"
+    schema = f"kind string, block string, word binary, n bigint, ids array<{kind}>, texts binary, keys binary, counts binary, marks array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, serial = zstandard.ZstdCompressor(level=1), 0
         ids, texts, size, arrow = [], [], 0, pa.null()
 
         def table(kind: str, name: str, height: int, **own: pa.Array) -> pa.RecordBatch:
-            types = {"word": pa.binary(), "gram": pa.int64(), "n": pa.int64(), "ids": pa.list_(arrow), "texts": pa.binary()}
+            types = {"word": pa.binary(), "n": pa.int64(), "ids": pa.list_(arrow), "texts": pa.binary(),
+                     "keys": pa.binary(), "counts": pa.binary(), "marks": pa.list_(pa.int64())}
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind] * height), pa.array([name] * height), *[own.get(c, pa.nulls(height, t)) for c, t in types.items()]],
                 ["kind", "block", *types])
@@ -116,12 +118,15 @@ def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
                     keys, n = np.unique(grams_of(strip)[0], return_counts=True)
                     parts.append((keys, n if teach else n * 0))
                     if len(parts) == 16:
-                        parts = [_merge(parts)]
-            keys, n = _merge(parts)
+                        parts = [merged(parts)]
+            keys, n = merged(parts)
             yield table("texts", name, 1, ids=pa.array([ids], pa.list_(arrow)),
                         texts=pa.array([packer.compress(b"".join(lines))], pa.binary()))
             yield table("word", name, len(taught), word=pa.array(taught.keys(), pa.binary()), n=pa.array(taught.values(), pa.int64()))
-            yield table("gram", name, len(keys), gram=pa.array(keys), n=pa.array(n))
+            for at in range(0, len(keys), PIECE):
+                own = slice(at, at + PIECE)
+                yield table("gram", name, 1, keys=pa.array([pack(keys[own])]), counts=pa.array([pack(n[own])]),
+                            marks=pa.array([keys[own][::MARK] >> 8], pa.list_(pa.int64())))
             # the end token of each training text
             yield table("end", name, 1, n=pa.array([sum(map(trains, ids))], pa.int64()))
 
@@ -140,47 +145,104 @@ def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def trie_scores(grams: DataFrame) -> DataFrame:
-    """``score``, the log10 probability of each gram's last byte, from (gram, n).
+def _bounds(pieces: DataFrame) -> list[int]:
+    """Contexts that part the grams of all blocks into ranges of about equal weight, at most eight a shuffle partition."""
+    marks = pieces.select(F.explode("marks").alias("mark"))
+    spark = pieces.sparkSession
+    ranges = min(-(-marks.count() * MARK // RANGE_GRAMS), 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if ranges < 2:
+        return []
+    found = marks.agg(F.percentile_approx("mark", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+    return sorted(set(found))
 
-    ``n`` is the count in training texts; grams with 0 are asked for only.
-    """
-    mask = lambda n: (1 << 8 * n) - 1
-    followers, nodes = {}, {}
-    for size in range(ORDER, -1, -1):  # bytes of the context
-        below = grams.where("n > 0") if size == ORDER else followers[size + 1]
-        key = (F.col("gram") if size == ORDER else F.col("key")).bitwiseAND(F.lit(mask(size + 1)))
-        followers[size] = stage(below.select(key.alias("key"), "n").groupBy("key").agg(
-            (F.sum("n") if size == ORDER else F.count("*")).alias("n")), f"followers{size}")
-    for size in range(ORDER, -1, -1):
-        own = followers[size].withColumn("node", F.shiftright("key", 8))
-        if size:  # what the shorter context has for the followers of this one
-            short = followers[size - 1].select(F.col("key").alias("short"), F.col("n").alias("ruled"))
-            own = own.withColumn("short", F.col("key").bitwiseAND(F.lit(mask(size)))).join(short, "short")
-        else:
-            own = own.withColumn("ruled", F.lit(0))
-        nodes[size] = stage(own.groupBy("node").agg(
-            F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("ruled").alias("ruled")), f"nodes{size}")
-
-    rows = grams.select("gram").withColumns({
-        "score": F.lit(0.0), "found": F.lit(False), "ruled": F.lit(0).cast("bigint"), "out": F.lit(0).cast("bigint")})
-    for size in range(ORDER, -1, -1):
-        node = nodes[size].select(F.col("node"), F.col("total"), F.col("kinds"), F.col("ruled").alias("next"))
-        hit = followers[size].select(F.col("key"), F.col("n").alias("hit"))
-        rows = (
-            rows.withColumn("node", F.shiftright("gram", 8).bitwiseAND(F.lit(mask(size))))
-            .withColumn("key", F.col("gram").bitwiseAND(F.lit(mask(size + 1))))
-            .join(node, "node", "left").join(hit, "key", "left")
-        )
-        total, kinds = F.col("total") - F.col("ruled"), F.col("kinds") - F.col("out")
-        part = F.when(F.col("found") | F.col("total").isNull() | (kinds <= 0), 0.0).otherwise(
-            F.log10(F.coalesce(F.col("hit") - 0.5, 0.5 * kinds)) - F.log10(total))
-        rows = rows.select(
-            "gram", (F.col("score") + part).alias("score"), (F.col("found") | F.col("hit").isNotNull()).alias("found"),
-            F.when(F.col("total").isNull(), F.col("ruled")).otherwise(F.col("next")).alias("ruled"),
-            F.when(F.col("total").isNull(), F.col("out")).otherwise(F.col("kinds")).alias("out"))
-    left = F.greatest(F.lit(1), 256 - F.col("out"))
-    return rows.select("gram", F.when(F.col("found"), F.col("score")).otherwise(F.col("score") - F.log10(left)).alias("score"))
+
+def _cut(pieces: DataFrame, bounds: list[int]) -> DataFrame:
+    """Each block's grams by range: (bucket, block, size, keys, counts)."""
+    inner = np.array(bounds, np.int64) << 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4):
+            rows = []
+            for block, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, counts = unpack(keys), unpack(counts)
+                stops = [0, *np.searchsorted(keys, inner), len(keys)]
+                rows.extend((i, block, b - a, pack(keys[a:b]), pack(counts[a:b])) for i, (a, b) in enumerate(zip(stops, stops[1:])) if b > a)
+            columns = zip(*rows) if rows else [[]] * 5
+            types = [pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, types)], ["bucket", "block", "size", "keys", "counts"])
+
+    return pieces.select("block", "keys", "counts").mapInArrow(run, "bucket int, block string, size bigint, keys binary, counts binary")
+
+
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    parts, held = [], 0
+    for keys, counts in zip(table["keys"], table["counts"]):
+        parts.append((unpack(keys.as_py()), unpack(counts.as_py())))
+        held += len(parts[-1][0])
+        if held > 4 * RANGE_GRAMS:
+            parts, held = [merged(parts)], 0
+    return merged(parts)
+
+
+def gram_scores(pieces: DataFrame) -> DataFrame:
+    """(block, bucket, keys, chances): the packed grams of each block, and the log10 probability of each one's last byte."""
+    spark, bounds = pieces.sparkSession, _bounds(pieces)
+    cuts = stage(_cut(pieces, bounds), "cuts")
+    weights = cuts.groupBy("bucket").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / GROUP_GRAMS)).cast("int").alias("shares"))
+    cuts = cuts.join(weights, "bucket").withColumn("share", F.pmod(F.xxhash64("block"), "shares").cast("int"))
+
+    def fold(table: pa.Table) -> pa.Table:
+        keys, counts = _summed(table)
+        return pa.table({"bucket": table["bucket"][:1], "shares": table["shares"][:1],
+                         "keys": pa.array([pack(keys)]), "counts": pa.array([pack(counts)])})
+
+    def finish(table: pa.Table) -> pa.Table:
+        keys, counts = _summed(table)
+        bucket = table["bucket"][0].as_py()
+        rows = edges(keys[counts > 0], bounds, bucket)
+        size, prefix, symbol, child, n = zip(*rows) if rows else [[]] * 5
+        one = lambda value, kind: pa.array([value] + [None] * len(rows), kind)
+        more = lambda values, kind: pa.array([None, *values], kind)
+        return pa.table({
+            "bucket": one(bucket, pa.int32()), "shares": one(table["shares"][0].as_py(), pa.int32()),
+            "keys": one(pack(keys), pa.binary()), "counts": one(pack(counts), pa.binary()),
+            "size": more(size, pa.int32()), "prefix": more(prefix, pa.int64()), "symbol": more(symbol, pa.int64()),
+            "child": more(child, pa.int64()), "n": more(n, pa.int64())})
+
+    packed = "bucket int, shares int, keys binary, counts binary"
+    sums = stage(
+        cuts.select("bucket", "share", "shares", "keys", "counts").groupBy("bucket", "share").applyInArrow(fold, packed)
+        .groupBy("bucket").applyInArrow(finish, f"{packed}, size int, prefix bigint, symbol bigint, child bigint, n bigint"), "sums")
+
+    context = ["size", "prefix", "symbol"]
+    cut = (
+        sums.where("size IS NOT NULL").groupBy(*context, "child").agg(F.sum("n").alias("n"))
+        .groupBy(*context).agg(F.sum(F.when(F.col("child") < 0, F.col("n")).otherwise(1)).alias("n"))
+    )
+    paths = spark.createDataFrame(
+        [(i, size, p) for i in range(len(bounds) + 1) for size in range(ORDER) for p in cut_contexts(bounds, i, size)],
+        "bucket int, size int, prefix bigint")
+    whole = sums.where("size IS NULL").select("bucket", "shares", "keys", "counts")
+    facts = (
+        whole.unionByName(paths.join(cut, ["size", "prefix"]).join(whole.select("bucket", "shares"), "bucket"), allowMissingColumns=True)
+        .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        .select(F.col("bucket").alias("_bucket"), F.col("share").alias("_share"), F.col("keys").alias("_keys"), "counts", *context, "n")
+    )
+
+    def answer(cuts: pa.Table, facts: pa.Table) -> pa.Table:
+        if not cuts.num_rows:
+            return pa.table({"block": pa.array([], pa.string()), "bucket": pa.array([], pa.int32()),
+                             "keys": pa.array([], pa.binary()), "chances": pa.array([], pa.binary())})
+        head = facts.filter(facts["_keys"].is_valid())
+        keys = unpack(head["_keys"][0].as_py())
+        chances = log_chances(keys, unpack(head["counts"][0].as_py()), facts.filter(facts["size"].is_valid()))
+        packer = zstandard.ZstdCompressor(level=1)
+        found = [packer.compress(chances[np.searchsorted(keys, unpack(k.as_py()))].tobytes()) for k in cuts["keys"]]
+        return pa.table({"block": cuts["block"], "bucket": cuts["bucket"], "keys": cuts["keys"], "chances": pa.array(found, pa.binary())})
+
+    return cuts.select("bucket", "share", "block", "keys").groupBy("bucket", "share").cogroup(
+        facts.groupBy("_bucket", "_share")).applyInArrow(answer, "block string, bucket int, keys binary, chances binary")
 
 
 def scored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_held_out: Callable = held_out) -> DataFrame:
@@ -195,29 +257,24 @@ def scored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_hel
     ends = part("end").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counted = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     tokens, distinct = counted[0] + ends, counted[1] + (ends > 0)
-    scores = stage(trie_scores(stage(part("gram").groupBy("gram").agg(F.sum("n").alias("n")), "grams")), "scores")
-
-    none = lambda t: F.lit(None).cast(t)
     replies = (
-        part("word").select("block", "word").join(words, "word")
-        .select("block", "word", none("bigint").alias("gram"), F.col("n").cast("double").alias("value"))
-        .unionByName(part("gram").select("block", "gram").join(scores, "gram").select(
-            "block", none("binary").alias("word"), "gram", F.col("score").alias("value")))
+        part("word").select("block", "word").join(words, "word").select("block", "word", "n")
+        .unionByName(gram_scores(part("gram")), allowMissingColumns=True)
     )
 
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         ids = texts["ids"][0].values
         lines = zstandard.ZstdDecompressor().decompress(texts["texts"][0].as_py()).split(END)[:-1]
-        is_gram = replies["word"].is_null().to_numpy()
-        values = replies["value"].to_numpy()
-        known = replies.filter(pa.array(~is_gram))["word"].to_pylist()
+        is_word = replies["word"].is_valid()
+        known = replies.filter(is_word)["word"].to_pylist()
         place = {w: i for i, w in enumerate(known)}
-        seen = np.concatenate([values[~is_gram], [float(ends)]])
+        seen = np.concatenate([replies.filter(is_word)["n"].to_numpy(), [float(ends)]])
         scale = math.log10(tokens + 1 * (distinct + 1))
         logs = np.log10(seen + 1) - scale
-        keys = replies["gram"].to_numpy()[is_gram].astype(np.int64)
-        order = np.argsort(keys)
-        keys, chances = keys[order], values[is_gram][order]
+        ranges = replies.filter(replies["keys"].is_valid()).sort_by("bucket")
+        keys = np.concatenate([unpack(k.as_py()) for k in ranges["keys"]])
+        unzip = zstandard.ZstdDecompressor().decompress
+        chances = np.concatenate([np.frombuffer(unzip(c.as_py())) for c in ranges["chances"]])
         n_tokens, n_known, base, totals = [], [], [], []
         for strip in _strips([x + END for x in lines]):
             gram, stops = grams_of(strip)

@@ -180,7 +180,10 @@ def test_packing_is_gapless_and_tight(spark):
     assert len(sequences) <= 1 + math.ceil(1.1 * sum(r.length for r in got) / 64)
 
 
-def test_ppm_matches_a_direct_trie(spark):
+@pytest.mark.parametrize("piece, mark, grams, group", [(1 << 20, 1024, 500_000, 8_000_000), (64, 2, 25, 40)])
+def test_ppm_matches_a_direct_trie(spark, monkeypatch, piece, mark, grams, group):
+    for name, value in {"PIECE": piece, "MARK": mark, "RANGE_GRAMS": grams, "GROUP_GRAMS": group}.items():
+        monkeypatch.setattr(ppm, name, value)
     rows = [r for r in invented(6, 30) if r[1] != LONG]
     got = collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 5)) for r in ppm.scored(frame(spark, rows)).collect())
     k, words = ppm.ORDER, [(i, (t or "").encode().lower().split()) for i, t in rows]
