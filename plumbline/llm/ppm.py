@@ -11,7 +11,8 @@ all bytes not yet ruled out are equally likely. The code length of a text is the
 Everything counted comes from all training rows and grows with them. Scan tasks gather texts in
 blocks, count words and byte grams per block, and pack the block's texts and its sorted grams.
 Bounds taken from every 1,024th gram of each block cut the grams into ranges of about equal weight;
-what a block has in a range travels as one packed row. A range sums its blocks, works out its part
+what a block has in a range travels as one packed row. Words travel in the same way, cut into
+ranges of their hash, and are told apart by their bytes. A range sums its blocks, works out its part
 of the trie (``context_trie``) and answers each block with the chances of exactly what occurs in it:
 no task and no driver holds the model. A range that one context makes too heavy is shared by more
 groups of blocks, each with the range's sums.
@@ -30,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,17 +87,25 @@ def _strips(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield own
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(END.join(words))
+
+
+def unpack_words(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(END)
+
+
 def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
     """Per block: its packed texts, every word in it with its count in training texts, and the same of its grams, packed in order."""
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"kind string, block string, word binary, n bigint, ids array<{kind}>, texts binary, keys binary, counts binary, marks array<bigint>"
+    schema = f"kind string, block string, n bigint, ids array<{kind}>, texts binary, keys binary, counts binary, marks array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, serial = zstandard.ZstdCompressor(level=1), 0
         ids, texts, size, arrow = [], [], 0, pa.null()
 
         def table(kind: str, name: str, height: int, **own: pa.Array) -> pa.RecordBatch:
-            types = {"word": pa.binary(), "n": pa.int64(), "ids": pa.list_(arrow), "texts": pa.binary(),
+            types = {"n": pa.int64(), "ids": pa.list_(arrow), "texts": pa.binary(),
                      "keys": pa.binary(), "counts": pa.binary(), "marks": pa.list_(pa.int64())}
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind] * height), pa.array([name] * height), *[own.get(c, pa.nulls(height, t)) for c, t in types.items()]],
@@ -122,7 +132,11 @@ def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
             keys, n = merged(parts)
             yield table("texts", name, 1, ids=pa.array([ids], pa.list_(arrow)),
                         texts=pa.array([packer.compress(b"".join(lines))], pa.binary()))
-            yield table("word", name, len(taught), word=pa.array(taught.keys(), pa.binary()), n=pa.array(taught.values(), pa.int64()))
+            known = sorted(taught, key=zlib.crc32)
+            for at in range(0, len(known), PIECE):
+                own = known[at: at + PIECE]
+                yield table("word", name, 1, n=pa.array([len(own)]), keys=pa.array([pack_words(own)]),
+                            counts=pa.array([pack(np.array([taught[w] for w in own], np.int64))]))
             for at in range(0, len(keys), PIECE):
                 own = slice(at, at + PIECE)
                 yield table("gram", name, 1, keys=pa.array([pack(keys[own])]), counts=pa.array([pack(n[own])]),
@@ -148,25 +162,29 @@ def _gather(rows: DataFrame, trains: Callable) -> DataFrame:
 def _bounds(pieces: DataFrame) -> list[int]:
     """Contexts that part the grams of all blocks into ranges of about equal weight, at most eight a shuffle partition."""
     marks = pieces.select(F.explode("marks").alias("mark"))
-    spark = pieces.sparkSession
-    ranges = min(-(-marks.count() * MARK // RANGE_GRAMS), 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = _ranges(pieces.sparkSession, marks.count() * MARK)
     if ranges < 2:
         return []
     found = marks.agg(F.percentile_approx("mark", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
     return sorted(set(found))
 
 
-def _cut(pieces: DataFrame, bounds: list[int]) -> DataFrame:
-    """Each block's grams by range: (bucket, block, size, keys, counts)."""
-    inner = np.array(bounds, np.int64) << 8
+def _cut(pieces: DataFrame, bounds: list[int], words: bool = False) -> DataFrame:
+    """Each block's grams or words by range: (bucket, block, size, keys, counts).
+
+    ``bounds`` are of contexts for grams and of hashes for words.
+    """
+    inner = np.array(bounds, np.int64) << (0 if words else 8)
+    load, save = (unpack_words, pack_words) if words else (unpack, pack)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4):
             rows = []
             for block, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, counts = unpack(keys), unpack(counts)
-                stops = [0, *np.searchsorted(keys, inner), len(keys)]
-                rows.extend((i, block, b - a, pack(keys[a:b]), pack(counts[a:b])) for i, (a, b) in enumerate(zip(stops, stops[1:])) if b > a)
+                keys, counts = load(keys), unpack(counts)
+                place = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) if words else keys
+                stops = [0, *np.searchsorted(place, inner), len(keys)]
+                rows.extend((i, block, b - a, save(keys[a:b]), pack(counts[a:b])) for i, (a, b) in enumerate(zip(stops, stops[1:])) if b > a)
             columns = zip(*rows) if rows else [[]] * 5
             types = [pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -175,6 +193,67 @@ def _cut(pieces: DataFrame, bounds: list[int]) -> DataFrame:
     return pieces.select("block", "keys", "counts").mapInArrow(run, "bucket int, block string, size bigint, keys binary, counts binary")
 
 
+def _shared(cuts: DataFrame) -> DataFrame:
+    """``cuts`` with the number of groups that share its range, and the one that its block is in."""
+    weights = cuts.groupBy("bucket").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / GROUP_GRAMS)).cast("int").alias("shares"))
+    return cuts.join(weights, "bucket").withColumn("share", F.pmod(F.xxhash64("block"), "shares").cast("int"))
+
+
+def _ranges(spark, keys: int) -> int:
+    return max(1, min(-(-keys // RANGE_GRAMS), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _summed_words(table: pa.Table) -> pa.Table:
+    """Distinct words of packed rows with the sums of their counts: (word, n)."""
+    parts, held = [], 0
+
+    def folded() -> pa.Table:
+        return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+    for keys, counts in zip(table["keys"], table["counts"]):
+        parts.append(pa.table({"word": pa.array(unpack_words(keys.as_py()), pa.large_binary()), "n": unpack(counts.as_py())}))
+        held += parts[-1].num_rows
+        if held > 4 * RANGE_GRAMS:
+            parts, held = [folded()], 0
+    return folded()
+
+
+def word_counts(pieces: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, bucket, words, seen): each block's words and their counts in all training texts; all training words; distinct ones."""
+    spark = pieces.sparkSession
+    n = _ranges(spark, pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    cuts = _shared(stage(_cut(pieces, [(i << 32) // n for i in range(1, n)], words=True), "cut_words"))
+
+    def fold(table: pa.Table) -> pa.Table:
+        found = _summed_words(table)
+        counts = found["n"].to_numpy()
+        return pa.table({
+            "bucket": table["bucket"][:1], "shares": table["shares"][:1], "keys": pa.array([pack_words(found["word"].to_pylist())]),
+            "counts": pa.array([pack(counts)]), "total": pa.array([int(counts.sum())]), "known": pa.array([int((counts > 0).sum())])})
+
+    kinds = "bucket int, shares int, keys binary, counts binary, total bigint, known bigint"
+    sums = stage(
+        cuts.select("bucket", "share", "shares", "keys", "counts").groupBy("bucket", "share").applyInArrow(fold, kinds)
+        .groupBy("bucket").applyInArrow(fold, kinds), "word_sums")
+    total, known = sums.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    facts = sums.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).select(
+        F.col("bucket").alias("_bucket"), F.col("share").alias("_share"), F.col("keys").alias("_keys"), "counts")
+
+    def answer(cuts: pa.Table, facts: pa.Table) -> pa.Table:
+        if not cuts.num_rows:
+            return pa.table({"block": pa.array([], pa.string()), "bucket": pa.array([], pa.int32()),
+                             "words": pa.array([], pa.binary()), "seen": pa.array([], pa.binary())})
+        kept, counts = pa.array(unpack_words(facts["_keys"][0].as_py()), pa.large_binary()), unpack(facts["counts"][0].as_py())
+        packer = zstandard.ZstdCompressor(level=1)
+        found = [packer.compress(counts[pc.index_in(pa.array(unpack_words(k.as_py()), pa.large_binary()), value_set=kept).to_numpy()].tobytes())
+                 for k in cuts["keys"]]
+        return pa.table({"block": cuts["block"], "bucket": cuts["bucket"], "words": cuts["keys"], "seen": pa.array(found, pa.binary())})
+
+    replies = cuts.select("bucket", "share", "block", "keys").groupBy("bucket", "share").cogroup(
+        facts.groupBy("_bucket", "_share")).applyInArrow(answer, "block string, bucket int, words binary, seen binary")
+    return replies, total, known
+
+
 def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     parts, held = [], 0
     for keys, counts in zip(table["keys"], table["counts"]):
@@ -188,9 +267,7 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def gram_scores(pieces: DataFrame) -> DataFrame:
     """(block, bucket, keys, chances): the packed grams of each block, and the log10 probability of each one's last byte."""
     spark, bounds = pieces.sparkSession, _bounds(pieces)
-    cuts = stage(_cut(pieces, bounds), "cuts")
-    weights = cuts.groupBy("bucket").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") / GROUP_GRAMS)).cast("int").alias("shares"))
-    cuts = cuts.join(weights, "bucket").withColumn("share", F.pmod(F.xxhash64("block"), "shares").cast("int"))
+    cuts = _shared(stage(_cut(pieces, bounds), "cut_grams"))
 
     def fold(table: pa.Table) -> pa.Table:
         keys, counts = _summed(table)
@@ -253,27 +330,25 @@ def scored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_hel
     parts = stage(_gather(rows, lambda i: not is_held_out(i)), "blocks")
     part = lambda k: parts.where(F.col("kind") == k)
 
-    words = stage(part("word").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    words, taught, known = word_counts(part("word"))
     ends = part("end").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counted = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    tokens, distinct = counted[0] + ends, counted[1] + (ends > 0)
-    replies = (
-        part("word").select("block", "word").join(words, "word").select("block", "word", "n")
-        .unionByName(gram_scores(part("gram")), allowMissingColumns=True)
-    )
+    tokens, distinct = taught + ends, known + (ends > 0)
+    replies = words.unionByName(gram_scores(part("gram")), allowMissingColumns=True)
 
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         ids = texts["ids"][0].values
         lines = zstandard.ZstdDecompressor().decompress(texts["texts"][0].as_py()).split(END)[:-1]
-        is_word = replies["word"].is_valid()
-        known = replies.filter(is_word)["word"].to_pylist()
-        place = {w: i for i, w in enumerate(known)}
-        seen = np.concatenate([replies.filter(is_word)["n"].to_numpy(), [float(ends)]])
+        unzip = zstandard.ZstdDecompressor().decompress
+        place, seen = {}, []
+        for packed, counts in zip(*(replies.filter(replies["words"].is_valid())[c] for c in ("words", "seen"))):
+            for w in unpack_words(packed.as_py()):
+                place[w] = len(place)
+            seen.append(np.frombuffer(unzip(counts.as_py()), np.int64))
+        seen = np.concatenate([*seen, [ends]])
         scale = math.log10(tokens + 1 * (distinct + 1))
         logs = np.log10(seen + 1) - scale
         ranges = replies.filter(replies["keys"].is_valid()).sort_by("bucket")
         keys = np.concatenate([unpack(k.as_py()) for k in ranges["keys"]])
-        unzip = zstandard.ZstdDecompressor().decompress
         chances = np.concatenate([np.frombuffer(unzip(c.as_py())) for c in ranges["chances"]])
         n_tokens, n_known, base, totals = [], [], [], []
         for strip in _strips([x + END for x in lines]):
@@ -281,7 +356,7 @@ def scored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", is_hel
             sums = np.concatenate([[0.0], np.cumsum(chances[np.searchsorted(keys, gram)])])
             totals.extend(np.diff(sums[np.concatenate([[0], stops])]).tolist())
             for line in strip:
-                at = np.array([*[place[w] for w in line.split()], len(known)])
+                at = np.array([*[place[w] for w in line.split()], len(place)])
                 n_tokens.append(len(at))
                 n_known.append(int((seen[at] > 0).sum()))
                 base.append(float(logs[at].sum()))
