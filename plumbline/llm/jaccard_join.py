@@ -29,9 +29,7 @@ HUB_ROUNDS = 4
 #: 64-bit words of a text's bitmap.
 WORDS = 8
 
-
-def words_of(text: bytes) -> list[tuple[int, list[bytes]]]:
-    return [(0, text.lower().split())]
+CUT = simjoin.Cut(by_line=False)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -73,8 +71,8 @@ def _buckets(index: DataFrame, groups: DataFrame, comps: DataFrame) -> DataFrame
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
-    sieved = stage(simjoin.sieve(rows, words_of), "sieved")
-    sets = simjoin.near_sets(rows, sieved, words_of, WORDS)
+    sieved = stage(simjoin.sieve(rows, CUT), "sieved")
+    sets = simjoin.near_sets(rows, sieved, CUT, WORDS)
     members, heads = simjoin.representatives(sets)
     prefixes = simjoin.prefix_index(heads)
 

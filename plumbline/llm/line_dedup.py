@@ -3,7 +3,7 @@
 Lines are sets of five-word shingles over lower-cased words. Equal sets fold; the others are
 joined by prefix: elements in the order of rarity, length and positional filters, then the sets
 are compared. A line is removed if any earlier line matches it, earlier meaning a smaller
-(doc_id, line number); matches needn't stay themselves. Each bucket of the index first compares
+(doc_id, line number); matches needn't stay themselves. A crowded bucket of the index first compares
 its lines with its earliest one, and while many are left, with the earliest one left; a line that
 has found an earlier match is done. The others are compared with all earlier lines.
 
@@ -25,31 +25,17 @@ from plumbline.llm.common import stage
 MIN_WORDS = 5
 #: Rounds of one comparison a line and bucket before the rest is compared in full.
 HUB_ROUNDS = 5
+#: More lines in a bucket than this are first compared with hubs; fewer all meet.
+CROWD = 16
 #: 64-bit words of a line's bitmap.
 WORDS = 4
 
 
-def lines_of(min_words: int) -> simjoin.Cut:
-    def cut(text: bytes) -> list[tuple[int, list[bytes]]]:
-        words = ((no, line.split()) for no, line in enumerate(text.lower().split(b"\n")))
-        return [(no, w) for no, w in words if len(w) >= min_words]
-
-    return cut
-
-
-def _crowded(index: DataFrame, left: DataFrame) -> bool:
-    """Would comparing the lines ``left`` with all earlier ones take many pairs for each entry of the index?"""
-    entries = index.groupBy("element").agg(F.count("*").cast("double").alias("c"))
-    open_ = left.groupBy("element").agg(F.count("*").cast("double").alias("u"))
-    got = entries.join(open_, "element", "left").agg(F.sum(F.expr("c * coalesce(u, 0)")).alias("pairs"), F.sum("c").alias("entries")).first()
-    return bool(got["entries"]) and got["pairs"] > 4 * got["entries"]
-
-
 def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, no, of_doc, of_no): each line to remove and an earlier line that it matches; ``text_hash`` tells
     texts that share an id apart."""
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
-    cut = lines_of(min_words)
+    cut = simjoin.Cut(by_line=True, least=min_words)
     sieved = simjoin.sieve(rows, cut)
     sets = simjoin.near_sets(rows, sieved, cut, WORDS)
     members, heads = simjoin.representatives(sets)
@@ -59,14 +45,18 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     met_twice = places_.groupBy("element").agg(F.count("*").alias("lines")).where("lines > 1").select("element")
     index = stage(places_.join(met_twice, "element"), "index")
 
-    # In each bucket the earliest line, then the earliest of those that matched none, is held
-    # against the later ones without a match: each line is compared with the nearest, by bitmap, of
-    # the lines that its buckets hold against it. Few are left where a passage has many variants.
+    # Where a passage has many variants, in a crowded bucket, the earliest line, then the earliest of those
+    # that matched none, is held against the later ones without a match: each line is compared with the
+    # nearest, by bitmap, of the lines that its buckets hold against it. Few are left there, and few
+    # met in the other buckets.
     open_, found, tried = index, None, None
     for turn in range(HUB_ROUNDS):
-        hubs = open_.groupBy("element").agg(F.min(F.struct("key", "n", "at", "bits")).alias("hub"), F.count("*").alias("lines"))
-        met = open_.join(hubs.where("lines > 1").drop("lines"), "element")
-        near = met.where("key > hub.key").where(simjoin.can_link("n", "at", "hub.n", "hub.at")).where(
+        hubs = open_.groupBy("element").agg(F.min(F.struct("key", "n", "at", "bits")).alias("hub"), F.count("*").alias("lines")).where(
+            F.col("lines") > CROWD).drop("lines")
+        met = stage(open_.join(hubs, "element").where("key > hub.key"), "met")
+        if met.isEmpty():
+            break
+        near = met.where(simjoin.can_link("n", "at", "hub.n", "hub.at")).where(
             simjoin.may_link("n", "bits", "hub.n", "hub.bits", WORDS)).select(
             F.col("key").alias("b"), F.col("hub.key").alias("a"), simjoin.far("bits", "hub.bits", WORDS).alias("far"))
         if tried is not None:
@@ -74,19 +64,18 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         pairs = near.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")).select("a", "b")
         done = simjoin.verified(pairs, heads, "first")
         new = done.where("linked").select("b", "a")
-        found = stage(new if found is None else found.union(new), "found")
+        found = new if found is None else found.union(new)
         tried = done.select("a", "b") if tried is None else tried.union(done.select("a", "b"))
-        left = index.join(found.select(F.col("b").alias("key")), "key", "left_anti")
-        if turn + 1 == HUB_ROUNDS or not _crowded(index, left):
-            break
-        open_ = stage(met.where("key > hub.key").join(found.select(F.col("b").alias("key")), "key", "left_anti").select(*index.columns), "open")
+        open_ = met.select(*index.columns).join(new.select(F.col("b").alias("key")), "key", "left_anti")
     # lines that found none, with all earlier ones
+    left = index if found is None else index.join(found.select(F.col("b").alias("key")), "key", "left_anti")
     l, r = index.alias("l"), left.alias("r")
     rest = l.join(r, F.expr("l.element = r.element AND l.key < r.key") & simjoin.can_link("l.n", "l.at", "r.n", "r.at")
                   & simjoin.may_link("l.n", "l.bits", "r.n", "r.bits", WORDS)).select(
         F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
-    more = simjoin.verified(rest.join(tried, ["a", "b"], "left_anti"), heads, "more")
-    found = found.union(more.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a"))
+    more = simjoin.verified(rest if tried is None else rest.join(tried, ["a", "b"], "left_anti"), heads, "more")
+    last = more.where("linked").groupBy("b").agg(F.min("a").alias("a")).select("b", "a")
+    found = last if found is None else found.union(last)
 
     near = members.join(found.withColumnRenamed("b", "head"), "head", "left").select(
         "key", F.when(F.col("key") > F.col("head"), F.col("head")).otherwise(F.col("a")).alias("of")).where("of IS NOT NULL")
