@@ -4,7 +4,7 @@ After the sieve, equal sets fold into one head. Heads with the same size and the
 a group; only groups meet in the index of prefix elements, where length and positional filters
 reject pairs of groups; what is left is expanded to members and verified one by one.
 
-Links matter only as far as they connect. Each bucket of the index has a hub; a group is compared
+Links matter only as far as they connect. Each crowded bucket of the index has a hub; a group is compared
 with the nearest of its buckets' hubs, by the distance of bitmaps, which is never above that of the
 sets, so that too far a pair is rejected unread. Members that are connected by then need no further
 comparison with each other, and a bucket whose members are all connected is done. After a few rounds
@@ -26,6 +26,8 @@ from plumbline.llm import simjoin
 from plumbline.llm.common import stage
 
 HUB_ROUNDS = 4
+#: A bucket of more members than this has a hub; the members of others all meet.
+CROWD = 16
 #: 64-bit words of a text's bitmap.
 WORDS = 8
 
@@ -54,17 +56,16 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _buckets(index: DataFrame, groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """The index with each group's components, of those buckets that aren't all connected yet."""
+def _buckets(index: DataFrame, groups: DataFrame, comps: DataFrame, hubs: bool) -> DataFrame:
+    """The index with each group's components, of those buckets that aren't all connected yet; with their hubs if asked for."""
     state = groups.join(comps, "key").groupBy("group").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"),
-        F.min_by(F.struct("key", "comp", "bits"), "key").alias("first"))
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("key", "comp", "bits"), "key").alias("first"))
     rows = index.join(state, "group")
-    open_ = rows.groupBy("element").agg(
-        F.min("lo").alias("least"), F.max("hi").alias("most"),
-        F.min(F.struct("unique", "first", "n", "at", "group")).alias("hub"),
-        F.max(F.struct("unique", "first", "n", "at", "group")).alias("hub2"),
-    ).where("least < most").drop("least", "most")
+    if not hubs:
+        rows = rows.select("element", "group", "n", "at", "members", "lo", "hi", F.col("first.bits").alias("bits"))
+    ends = [f(F.struct("unique", "first", "n", "at", "group")).alias(c) for f, c in ((F.min, "hub"), (F.max, "hub2"))] if hubs else []
+    open_ = rows.groupBy("element").agg(F.min("lo").alias("least"), F.max("hi").alias("most"), *ends).where(
+        "least < most").drop("least", "most")
     return stage(rows.join(open_, "element"), "buckets")
 
 
@@ -81,18 +82,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     grouped = prefixes.withColumn("name", F.md5(F.concat_ws(",", "n", F.coalesce(alone, F.lit(-1)), F.concat_ws(",", F.col("prefix").cast("array<string>")))))
     groups = stage(grouped.select(F.col("name").alias("group"), "key", "n", "unique", "prefix", "bits"), "groups")
     index = stage(
-        groups.groupBy("group").agg(*[F.first(c).alias(c) for c in ("n", "unique", "prefix")])
-        .select("group", "n", "unique", F.posexplode("prefix").alias("_at", "element"))
-        .select("group", "n", "unique", (F.col("unique") + F.col("_at")).alias("at"), "element"), "index")
+        groups.groupBy("group").agg(F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "unique", "prefix")])
+        .select("group", "n", "unique", "members", F.posexplode("prefix").alias("_at", "element"))
+        .select("group", "n", "unique", "members", (F.col("unique") + F.col("_at")).alias("at"), "element"), "index")
     groups = groups.select("group", "key", "n", "bits")
+    crowds = index.groupBy("element").agg(F.sum("members").alias("c")).where(F.col("c") > CROWD).select("element")
+    crowded = stage(index.join(crowds, "element"), "crowded")
 
     comps = groups.select("key", F.col("key").alias("comp"))
     tried, whole = None, False
     for turn in range(HUB_ROUNDS + 1):
         whole = whole or turn == HUB_ROUNDS
-        rows_ = _buckets(index, groups, comps)
-        if rows_.isEmpty():  # all that share a bucket are connected
-            break
+        if not whole:
+            rows_ = _buckets(crowded, groups, comps, True)
+            whole = rows_.isEmpty()  # all that share a crowded bucket are connected
+        if whole:
+            rows_ = _buckets(index, groups, comps, False)
+            if rows_.isEmpty():  # all that share a bucket are connected
+                break
         hub = "hub" if turn % 2 == 0 else "hub2"
         own = groups.join(comps, "key")
         if not whole:
@@ -113,7 +120,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             sizes = rows_.groupBy("element", "lo").agg(F.count("*").alias("c")).groupBy("element").agg(
                 F.max(F.struct("c", "lo"))["lo"].alias("main"))
             rows_ = stage(rows_.join(sizes, "element").withColumn("in_main", F.expr("lo = hi AND lo = main")).select(
-                "element", "group", "n", "at", "lo", "hi", "in_main", "members", F.col("first.bits").alias("bits")), "rest")
+                "element", "group", "n", "at", "lo", "hi", "in_main", "members", "bits"), "rest")
             l, r = rows_.where("NOT in_main").alias("l"), rows_.alias("r")
             met = l.join(r, F.expr(
                 "l.element = r.element AND (r.in_main OR l.group <= r.group) AND NOT (l.lo = l.hi AND r.lo = r.hi AND l.lo = r.lo)"

@@ -1,11 +1,12 @@
 """Hubs are for crowded buckets only; windows hashed together are the sets that plain Python makes."""
 
+import itertools
 import random
 
 import numpy as np
 import pytest
 
-from plumbline.llm import line_dedup, simjoin
+from plumbline.llm import jaccard_join, line_dedup, simjoin
 
 from test_brute_force import lines_to_remove
 
@@ -33,6 +34,17 @@ def compared(monkeypatch):
     return names
 
 
+def component_ids(rows):
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    comp = {i: i for i in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * len(sets[a] | sets[b]) and comp[a] != comp[b]:
+            low, high = sorted((comp[a], comp[b]))
+            comp = {i: low if c == high else c for i, c in comp.items()}
+    return comp
+
+
 @pytest.mark.parametrize("families, size, hubs", [(30, 5, False), (2, 60, True)])
 def test_lines_take_hub_rounds_only_in_crowded_buckets(spark, compared, families, size, hubs):
     rows = variants(families, size)
@@ -43,6 +55,16 @@ def test_lines_take_hub_rounds_only_in_crowded_buckets(spark, compared, families
     assert compared[-1] == "more"
 
 
+@pytest.mark.parametrize("families, size, hubs", [(30, 5, False), (2, 60, True)])
+def test_documents_take_hub_rounds_only_in_crowded_buckets(spark, monkeypatch, families, size, hubs):
+    staged, real = [], jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, name: staged.append(name) or real(df, name))
+    rows = variants(families, size)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == component_ids(rows)
+    assert ("rest" in staged) != hubs  # one hub connects a family
+
+
 @pytest.mark.parametrize("by_line, least", [(True, 1), (True, 5), (False, 0)])
 def test_sets_of_many_texts_at_once(by_line, least):
     draw = random.Random(5)
