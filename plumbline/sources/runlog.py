@@ -54,10 +54,20 @@ def latest_runs(runs: DataFrame, family: str, start: str, run: str) -> DataFrame
 
 
 def claim(spark: SparkSession, folder: str, first: int) -> int:
-    """The first number from ``first`` on that nobody has claimed in ``folder``; now it is claimed."""
+    """The first number from ``first`` on that nobody has claimed in ``folder``; now it is claimed.
+
+    Hadoop's local file system looks for the file and then opens it, so two writers may both create it;
+    there the file is created by Java, in one step.
+    """
     number = first
     while True:
         fs, where, _ = _files(spark, f"{folder}/{number}")
+        if fs.getUri().getScheme() == "file":
+            fs.mkdirs(where.getParent())
+            if spark._jvm.java.io.File(fs.makeQualified(where).toUri().getPath()).createNewFile():
+                return number
+            number += 1
+            continue
         try:
             fs.create(where, False).close()
             return number
