@@ -17,7 +17,7 @@ from plumbline.session import shared_dir, stage
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
-__all__ = ["SPACE", "WORD", "read", "stage", "shared_dir", "binary", "task_id", "whole", "match", "ranked", "slices", "vocabulary", "hot_join"]
+__all__ = ["SPACE", "WORD", "read", "stage", "shared_dir", "binary", "task_id", "whole", "match", "ranked", "slices", "vocabulary", "hot_join", "likely"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,3 +90,25 @@ def hot_join(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: in
     found = near.where("_hot").drop("_hot")
     far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.where(~is_hot), key)
     return found.unionByName(far)
+
+
+#: At most so many 64-bit words, whatever the table, are broadcast to drop rows before a join.
+FILTER_WORDS = 1 << 19
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` isn't among that of ``keys``; a join must follow.
+
+    A Bloom filter: each key sets two bits of one word. With more keys it only lets more rows pass.
+    """
+    words = min(FILTER_WORDS, keys.count() // 4 + 1)
+    h = F.xxhash64(key)
+
+    def marked(df: DataFrame, bits: str) -> DataFrame:
+        return df.withColumn("_h", h).withColumns({
+            "_word": F.expr(f"pmod(shiftrightunsigned(_h, 12), {words}L)"),
+            bits: F.expr("shiftleft(1L, cast(_h & 63 AS int)) | shiftleft(1L, cast(shiftrightunsigned(_h, 6) & 63 AS int))"),
+        }).drop("_h")
+
+    held = marked(keys.select(key), "_bits").groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    return marked(rows, "_own").join(F.broadcast(held), "_word").where("(_own & _bits) = _own").select(*rows.columns)

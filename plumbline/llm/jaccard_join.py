@@ -73,8 +73,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
     sieved = stage(simjoin.sieve(rows, CUT), "sieved")
-    sets = simjoin.near_sets(rows, sieved, CUT, WORDS)
-    members, heads = simjoin.representatives(sets)
+    members, heads = simjoin.representatives(rows, sieved, CUT, WORDS)
     prefixes = simjoin.prefix_index(heads)
 
     # groups: same size, same prefix; a set with elements of its own in the prefix is alone
@@ -150,9 +149,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
 
     # back to documents: key -> head -> component, named by its smallest document
-    heads_ = members.join(comps.withColumnsRenamed({"key": "head"}), "head", "left").select(
-        "key", F.coalesce("comp", "head").alias("comp"))
-    ids = sets.select("key", F.col("id.id").alias("id")).distinct().join(heads_, "key").select("id", "comp")
+    ids = members.join(comps.withColumnsRenamed({"key": "head"}), "head", "left").select(
+        F.col("id.id").alias("id"), F.coalesce("comp", "head").alias("comp"))
     # rows that share an id are one node: their components are joined
     twice = ids.groupBy("id").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
     across = components(twice.where("a < b").select("a", "b")).select(F.col("node").alias("comp"), F.col("comp").alias("into"))

@@ -37,8 +37,7 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     rows = simjoin.named(df, id_col, text_col).select("id", "text")
     cut = simjoin.Cut(by_line=True, least=min_words)
     sieved = simjoin.sieve(rows, cut)
-    sets = simjoin.near_sets(rows, sieved, cut, WORDS)
-    members, heads = simjoin.representatives(sets)
+    members, heads = simjoin.representatives(rows, sieved, cut, WORDS)
     prefixes = simjoin.prefix_index(heads)
     places_ = prefixes.select("key", "n", "bits", "unique", F.posexplode("prefix").alias("_at", "element")).select(
         "key", "n", "bits", (F.col("unique") + F.col("_at")).alias("at"), "element")
@@ -79,7 +78,7 @@ def matches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
 
     near = members.join(found.withColumnRenamed("b", "head"), "head", "left").select(
         "key", F.when(F.col("key") > F.col("head"), F.col("head")).otherwise(F.col("a")).alias("of")).where("of IS NOT NULL")
-    places = sets.select("key", "id", "no").distinct()
+    places = members.select("key", "id", "no")
     return stage(
         near.join(places, "key").select(F.col("id.id").alias("doc_id"), F.col("id.hash").alias("text_hash"), "no", "of")
         .join(places.select(F.col("key").alias("of"), F.col("id.id").alias("of_doc"), F.col("no").alias("of_no")), "of")

@@ -6,8 +6,9 @@ hashes. Two sets link at Jaccard similarity 80 % or more. All steps are exact.
 The sieve. Order a set of n by hash. Sets that link share at least k of the n - ceil(.8 n) + k
 first elements of each, with k about n / 5; so only this two fifths of the elements travel, packed
 in sorted arrays, and a set whose shared elements there are fewer than k links with nothing. Texts
-without near copies end here; the rest is small. Once equal sets are folded, a second sieve counts how many
-elements of a set any other has, which must be four fifths.
+without near copies end here; the rest is small. The sieve also names each set by a hash of all of it, so that
+equal sets are folded before any text is read again; a second sieve then counts how many elements of a set any
+other has, which must be four fifths.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import binary, ranked, slices, stage, task_id
+from plumbline.llm.common import binary, likely, ranked, slices, stage, task_id
 
 WINDOW = 5
 PERCENT = 80
@@ -154,6 +155,12 @@ def firsts(sets: Sets, most: np.ndarray) -> np.ndarray:
     return sets.elements[np.arange(len(owner)) - start[owner] < most[owner]]
 
 
+def signs(sets: Sets) -> list[bytes]:
+    """16 bytes for each set, which equal sets share."""
+    own, ends = sets.elements.tobytes(), np.cumsum([0, *sets.size]).tolist()
+    return [xxhash.xxh3_128_digest(own[8 * i: 8 * j]) for i, j in zip(ends, ends[1:])]
+
+
 def needed(n):
     """Smallest overlap of a set of n with any set that it links with."""
     return -(-PERCENT * n // 100)
@@ -181,7 +188,8 @@ def _owners(steps: bytes, wide: bytes) -> np.ndarray:
 
 
 def sieve(rows: DataFrame, cut: Cut) -> DataFrame:
-    """Every set of ``rows`` (id, text) as ``id``, ``no``, ``n`` and ``near``, false where it can't link.
+    """Every set of ``rows`` (id, text) as ``id``, ``no``, ``n``, ``near``, false where it can't link, and ``sign``,
+    16 bytes of the set where it can.
 
     ``rows`` must come from files or a staged table, so that a task that runs again packs the same blocks.
     """
@@ -191,7 +199,7 @@ def sieve(rows: DataFrame, cut: Cut) -> DataFrame:
             sets = shingled(texts, cut)
             yield [names[first + i] for i in sets.text.tolist()], sets
 
-    return _sieved(rows.select("id", "text"), read_, _send, shared_least)
+    return _sieved(rows.select("id", "text"), read_, _send, shared_least, signs)
 
 
 def candidates(heads: DataFrame) -> DataFrame:
@@ -207,15 +215,17 @@ def candidates(heads: DataFrame) -> DataFrame:
 
 
 def _sieved(rows: DataFrame, read_: Callable[[pa.RecordBatch], Iterator[tuple[list, Sets]]],
-            send: Callable[[np.ndarray], np.ndarray], least: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``id``, ``no``, ``n`` of each set that ``read_`` gives, and ``near``: of the first ``send(n)`` elements other sets sent ``least(n)``."""
+            send: Callable[[np.ndarray], np.ndarray], least: Callable[[np.ndarray], np.ndarray],
+            sign: Callable[[Sets], list[bytes]] | None = None) -> DataFrame:
+    """``id``, ``no``, ``n`` of each set that ``read_`` gives, and ``near``: of the first ``send(n)`` elements other sets sent ``least(n)``.
+    ``sign`` is null where it isn't asked for or ``near`` is false."""
     kind = rows.schema["id"].dataType
     buckets = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = f"bucket int, block string, hashes binary, owners binary, wide binary, ids array<{kind.simpleString()}>, nos binary, sizes binary"
+    schema = f"bucket int, block string, hashes binary, owners binary, wide binary, ids array<{kind.simpleString()}>, nos binary, sizes binary, signs binary"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = 0
-        ids, nos, sizes, sent, hashes, arrow = [], [], [], [], [], pa.null()
+        ids, nos, sizes, sent, hashes, named_, arrow = [], [], [], [], [], [], pa.null()
 
         def block() -> pa.RecordBatch:
             nonlocal serial
@@ -236,7 +246,8 @@ def _sieved(rows: DataFrame, read_: Callable[[pa.RecordBatch], Iterator[tuple[li
                 pa.array([x for x, _ in steps], pa.binary()), pa.array([x for _, x in steps], pa.binary()),
                 pa.array(own(ids), pa.list_(arrow)), pa.array(own(np.concatenate(nos).astype(np.int32).tobytes()), pa.binary()),
                 pa.array(own(np.concatenate(sizes).astype(np.uint32).tobytes()), pa.binary()),
-            ], ["bucket", "block", "hashes", "owners", "wide", "ids", "nos", "sizes"])
+                pa.array(own(b"".join(named_)), pa.binary()),
+            ], ["bucket", "block", "hashes", "owners", "wide", "ids", "nos", "sizes", "signs"])
 
         packed = 0
         for batch in slices(batches):
@@ -247,10 +258,12 @@ def _sieved(rows: DataFrame, read_: Callable[[pa.RecordBatch], Iterator[tuple[li
                 sizes.append(sets.size)
                 sent.append(send(sets.size))
                 hashes.append(firsts(sets, sent[-1]))
+                if sign is not None:
+                    named_ += sign(sets)
                 packed += len(hashes[-1])
                 if packed > BLOCK:
                     yield block()
-                    ids, nos, sizes, sent, hashes, packed = [], [], [], [], [], 0
+                    ids, nos, sizes, sent, hashes, named_, packed = [], [], [], [], [], [], 0
         if ids:
             yield block()
 
@@ -270,7 +283,7 @@ def _sieved(rows: DataFrame, read_: Callable[[pa.RecordBatch], Iterator[tuple[li
             at += len(h)
         return pa.table({
             "block": table["block"], "owners": pa.array(owners, pa.binary()), "counts": pa.array(counts, pa.binary()),
-            "ids": table["ids"], "nos": table["nos"], "sizes": table["sizes"]})
+            "ids": table["ids"], "nos": table["nos"], "sizes": table["sizes"], "signs": table["signs"]})
 
     def judge(table: pa.Table) -> pa.Table:
         head = next(i for i, x in enumerate(table["sizes"].to_pylist()) if x is not None)
@@ -278,13 +291,15 @@ def _sieved(rows: DataFrame, read_: Callable[[pa.RecordBatch], Iterator[tuple[li
         found = np.zeros(len(sizes), np.int64)
         for o, c in zip(table["owners"].to_pylist(), table["counts"].to_pylist()):
             found[np.frombuffer(o, np.uint32)] += np.frombuffer(c, np.uint32)
+        near, own = (sizes > 0) & (found >= least(sizes)), table["signs"][head].as_py()
         return pa.table({
             "id": table["ids"][head].values, "no": pa.array(np.frombuffer(table["nos"][head].as_py(), np.int32)),
-            "n": pa.array(sizes), "near": pa.array((sizes > 0) & (found >= least(sizes)))})
+            "n": pa.array(sizes), "near": pa.array(near),
+            "sign": pa.array([own[16 * i: 16 * i + 16] if own and x else None for i, x in enumerate(near.tolist())], pa.binary())})
 
     met = rows.mapInArrow(pack, schema).groupBy("bucket").applyInArrow(
         meet, schema.replace("bucket int, ", "").replace("hashes binary, owners binary, wide binary", "owners binary, counts binary"))
-    return met.groupBy("block").applyInArrow(judge, f"id {kind.simpleString()}, no int, n bigint, near boolean")
+    return met.groupBy("block").applyInArrow(judge, f"id {kind.simpleString()}, no int, n bigint, near boolean, sign binary")
 
 
 def bitmaps(sets: Sets, words: int) -> np.ndarray:
@@ -310,35 +325,39 @@ def may_link(n1: str, x: str, n2: str, y: str, words: int) -> Column:
     return far(x, y, words) <= F.expr(f"{n1} + {n2} - 2 * (({PERCENT} * ({n1} + {n2}) + {99 + PERCENT}) div {100 + PERCENT})")
 
 
-def near_sets(rows: DataFrame, sieved: DataFrame, cut: Cut, words: int) -> DataFrame:
-    """The sets that the sieve left, numbered in the order of (id, no): ``key``, ``id``, ``no``,
-    ``n``, ``sign`` (16 bytes of the set), ``bits`` (its bitmap of ``words`` words) and ``elements``."""
+def representatives(rows: DataFrame, sieved: DataFrame, cut: Cut, words: int) -> tuple[DataFrame, DataFrame]:
+    """The sets that the sieve left, numbered in the order of (id, no), as ``key``, ``id``, ``no`` and ``head``, the first
+    equal set; and the heads that may link: ``key``, ``n``, ``bits`` (a bitmap of ``words`` words) and ``elements``.
+
+    Only texts that hold a head are read again; most others are dropped before the shuffle.
+    """
     fields = [f"b{i}" for i in range(words)]
-    left = stage(ranked(sieved.where("near AND id IS NOT NULL").select("id", "no").distinct(), ["id", "no"], "key"), "near")
-    wanted = left.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("no", "key"))).alias("keys"))
-    kind = rows.schema["id"].dataType.simpleString()
+    left = stage(ranked(
+        sieved.where("near AND id IS NOT NULL").select("id", "no", "n", "sign").distinct(), ["id", "no"], "key"), "near")
+    heads = left.groupBy("sign", "n").agg(F.min("key").alias("head"))
+    members = stage(left.join(heads, ["sign", "n"]).select("key", "id", "no", "head"), "members")
+    firsts_ = members.where("key = head")
+    wanted = firsts_.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("no", "key"))).alias("keys"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys_of = [dict(keys) for keys in batch.column(2).to_pylist()]
-            for first, texts in portions(binary(batch.column(1))):
+            keys_of = [dict(keys) for keys in batch.column(1).to_pylist()]
+            for first, texts in portions(binary(batch.column(0))):
                 keys = lambda text, no: [keys_of[first + i].get(k) for i, k in zip(text.tolist(), no.tolist())]  # noqa: B023, E731  used in this turn
                 sets = shingled(texts, cut, lambda text, no: np.array([k is not None for k in keys(text, no)], bool))
-                ends, bits = np.cumsum([0, *sets.size]), bitmaps(sets, words)
-                own = sets.elements.tobytes()
+                bits = bitmaps(sets, words)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys(sets.text, sets.no), pa.int64()), batch.column(0).take(pa.array(first + sets.text)),
-                    pa.array(sets.no.astype(np.int32)), pa.array(sets.size),
-                    pa.array([xxhash.xxh3_128_digest(own[8 * i: 8 * j]) for i, j in zip(ends.tolist(), ends[1:].tolist())], pa.binary()),
+                    pa.array(keys(sets.text, sets.no), pa.int64()), pa.array(sets.size),
                     pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(bits[:, i])) for i in range(words)], fields),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sets.elements.view(np.int64))),
-                ], ["key", "id", "no", "n", "sign", "bits", "elements"])
+                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sets.size]), pa.int32()), pa.array(sets.elements.view(np.int64))),
+                ], ["key", "n", "bits", "elements"])
 
     # rows that are equal, id and text, once
-    texts = rows.select("id", "text").join(wanted, "id").groupBy("id").agg(*[F.first(c).alias(c) for c in ("text", "keys")])
+    own = likely(rows.select("id", "text"), firsts_, "id")
+    texts = own.join(wanted, "id").groupBy("id").agg(*[F.first(c).alias(c) for c in ("text", "keys")]).select("text", "keys")
     words_ = ", ".join(f"{f}: bigint" for f in fields)
-    return stage(texts.mapInArrow(
-        build, f"key bigint, id {kind}, no int, n bigint, sign binary, bits struct<{words_}>, elements array<bigint>"), "sets")
+    built = texts.mapInArrow(build, f"key bigint, n bigint, bits struct<{words_}>, elements array<bigint>")
+    return members, candidates(stage(built, "heads"))
 
 
 def named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -349,14 +368,6 @@ def named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.when(F.col(id_col).isNotNull(), both).alias("id"), text.alias("text"), F.col(id_col).alias("plain"))
 
 
-def representatives(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, head) of every set, ``head`` being the first equal set; and the heads that may link, with their elements."""
-    heads = sets.groupBy("sign", "n").agg(F.min("key").alias("head"))
-    members = stage(sets.select("key", "sign", "n").join(heads, ["sign", "n"]).select("key", "head"), "members")
-    firsts_ = members.where("key = head").select("key")
-    return members, candidates(stage(sets.select("key", "n", "bits", "elements").join(firsts_, "key"), "heads"))
-
-
 def prefix_index(heads: DataFrame) -> DataFrame:
     """Prefixes of the heads in the order of rarity: ``key``, ``n``, ``unique``, ``prefix``, ``bits``.
 
