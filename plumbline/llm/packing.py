@@ -35,11 +35,15 @@ from plumbline.llm.common import binary, slices, stage, vocabulary
 CAPACITY = 4096
 END = 1
 CACHE = 400_000
+#: Words that the tokenizer gets in one call.
+CALL = 256
+#: Bytes of text whose words are looked up together.
+TOGETHER = 1_000_000
 
 
 class WordTokens:
     """Token ids of texts from a tokenizer that drops white space: it is asked once per chunk
-    between ASCII white space, which none of its tokens spans."""
+    between ASCII white space, which none of its tokens spans. Places of tokens rise with the text."""
 
     def __init__(self, name: str) -> None:
         import os
@@ -51,18 +55,32 @@ class WordTokens:
 
     def __call__(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        return self.of([text])[0]
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
         if len(self.known) > CACHE:  # the generation before goes; what is met again moves over from this one
             self.known, self.older = {}, self.known
-        words, known, older = text.split(), self.known, self.older
-        new = set(words).difference(known)
+        words, known, older = [t.split() for t in texts], self.known, self.older
+        new = set().union(*words).difference(known)
         if new:
             fresh = new.difference(older)
             for w in new - fresh:
                 known[w] = older[w]
-            fresh = list(fresh)
-            for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+            self.look_up(list(fresh))
+        return [b"".join([known[w] for w in own]) for own in words]
+
+    def look_up(self, words: list[bytes]) -> None:
+        """Many words in one call, with a space between them; the place of a token says whose it is."""
+        for at in range(0, len(words), CALL):
+            own = words[at: at + CALL]
+            text = [w.decode() for w in own]
+            found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in text])
+            places = np.fromiter((x for x, _ in found.offsets), np.int64, len(found))
+            cuts = 4 * np.searchsorted(places, ends)
+            ids = np.array(found.ids, "<u4").tobytes()
+            self.known.update(zip(own, [ids[i:j] for i, j in zip([0, *cuts.tolist()], cuts.tolist())]))
 
 
 @lru_cache(maxsize=1)
@@ -71,6 +89,20 @@ def word_tokens(name: str) -> WordTokens:
     return WordTokens(name)
 
 
+def portions(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, up to ``TOGETHER`` bytes at a time unless one text has more."""
+    own: list[bytes] = []
+    size = 0
+    for text in texts:
+        if own and size + len(text) > TOGETHER:
+            yield own
+            own, size = [], 0
+        own.append(text)
+        size += len(text)
+    if own:
+        yield own
+
+
 def pieces(
     df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -82,8 +114,8 @@ def pieces(
         tokens = word_tokens(vocabulary)
         for batch in slices(batches):
             rows, number, start, length, sums = [], [], [], [], []
-            for i, text in enumerate(binary(batch.column(1))):
-                ids = memoryview(tokens(text) + tail)
+            for i, own_ids in enumerate(x for texts in portions(binary(batch.column(1))) for x in tokens.of(texts)):
+                ids = memoryview(own_ids + tail)
                 for k, at in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * at: 4 * (at + capacity)]
                     rows.append(i)
