@@ -9,8 +9,8 @@ all overlapping windows of its whole text.
 Training takes a bounded sample of the labelled rows that aren't held out: at most
 ``sample_toxic`` and ``sample_clean`` rows by a hash of their id, texts of at most
 ``sample_bytes``. A label belongs to the document, so a step learns from each document's window
-that scores highest just then (the first time by the log odds of its words). The weights have a
-fixed size of about a megabyte and go to the tasks with the function.
+that scores highest just then (the first time by the log odds of its words). One task learns from the
+whole sample. The weights have a fixed size of about a megabyte and go to the tasks with the function.
 
 Null and empty texts score as one window without words. Labels of rows without text, null labels
 and null ids are not learned from; repeated labels count once for each row. Without any usable
@@ -216,7 +216,8 @@ def _odds(texts: list[list[bytes]], labels: np.ndarray) -> dict[bytes, float]:
 def fit(texts: list[bytes], labels: list[int], steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Network:
     """A network from texts and their labels, after about ``steps`` steps and 8 passes at least."""
     net, draw = Network(seed), np.random.default_rng(seed)
-    words, marks = [t.lower().split() for t in texts], np.array(labels, np.float32)
+    one: dict[bytes, bytes] = {}  # a word is held once, however often it comes
+    words, marks = [[one.setdefault(w, w) for w in t.lower().split()] for t in texts], np.array(labels, np.float32)
     usable = [i for i, w in enumerate(words) if w]
     words, marks = [words[i] for i in usable], marks[usable]
     odds = _odds(words, marks)
@@ -251,16 +252,14 @@ def fit(texts: list[bytes], labels: list[int], steps: int = 500, batch: int = 64
 def sample(
     docs: DataFrame, labels: DataFrame, sample_toxic: int = 1500, sample_clean: int = 2500, sample_bytes: int = 20_000,
     id_col: str = "doc_id", text_col: str = "text",
-) -> tuple[list[bytes], list[int]]:
-    """The rows to learn from. First the ids are drawn, then only their texts are fetched."""
+) -> DataFrame:
+    """The rows to learn from (id, text, toxic). First the ids are drawn, then only their texts are fetched."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("_toxic")).where(
         "_id IS NOT NULL AND _toxic IN (0, 1)").where(not_held_out("_id"))
     pick = lambda label, n: usable.where(F.col("_toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(n)
     ids = pick(1, sample_toxic).union(pick(0, sample_clean))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(
-        F.octet_length("_text") <= sample_bytes).join(F.broadcast(ids), "_id").collect()
-    rows.sort(key=lambda r: (str(r["_id"]), r["_text"], r["_toxic"]))
-    return [r["_text"].encode() for r in rows], [r["_toxic"] for r in rows]
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(
+        F.octet_length("_text") <= sample_bytes).join(F.broadcast(ids), "_id").select("_id", "_text", "_toxic")
 
 
 def scored(df: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,6 +285,24 @@ def scored(df: DataFrame, net: Network | None, id_col: str = "doc_id", text_col:
 
 
 def trained(docs: DataFrame, labels: DataFrame, **bounds) -> Network | None:
-    """A network from ``labels``; None if they hold no two kinds."""
-    texts, marks = sample(docs, labels, **bounds)
-    return fit(texts, marks) if len(set(marks)) == 2 else None
+    """A network from ``labels``; None if they hold no two kinds.
+
+    The bounded sample goes to one task, which learns; the driver gets the weights only.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
+        rows.sort(key=lambda row: (str(row[0]), row[1], row[2]))
+        marks = [row[2] for row in rows]
+        if len(set(marks)) == 2:
+            p = fit([row[1].encode() for row in rows], marks).p
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(p)), pa.array([x.shape for x in p.values()], pa.list_(pa.int32())),
+                pa.array([x.astype("<f4").tobytes() for x in p.values()], pa.binary()),
+            ], ["name", "shape", "weights"])
+
+    learnt = sample(docs, labels, **bounds).repartition(1).mapInArrow(run, "name string, shape array<int>, weights binary").collect()
+    if not learnt:
+        return None
+    net = Network.__new__(Network)
+    net.p = {r["name"]: np.frombuffer(r["weights"], "<f4").reshape(r["shape"]) for r in learnt}
+    return net
