@@ -38,7 +38,7 @@ CACHE = 400_000
 #: Words that the tokenizer gets in one call.
 CALL = 256
 #: Bytes of text whose words are looked up together.
-TOGETHER = 1_000_000
+TOGETHER = 4_000_000
 
 
 class WordTokens:
@@ -68,7 +68,7 @@ class WordTokens:
             for w in new - fresh:
                 known[w] = older[w]
             self.look_up(list(fresh))
-        return [b"".join([known[w] for w in own]) for own in words]
+        return [b"".join(map(known.__getitem__, own)) for own in words]
 
     def look_up(self, words: list[bytes]) -> None:
         """Many words in one call, with a space between them; the place of a token says whose it is."""

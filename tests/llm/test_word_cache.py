@@ -44,3 +44,11 @@ def test_new_words_go_to_the_library_together_and_keep_their_ids(monkeypatch):
     monkeypatch.setattr(packing, "TOGETHER", 60)
     parts = list(packing.portions([t.encode() for t in texts]))
     assert [t.decode() for own in parts for t in own] == texts and len(parts) > 1
+
+
+def test_texts_of_a_batch_are_looked_up_together():
+    texts = [b"one two " * 100_000] * 3
+    assert [len(own) for own in packing.portions(texts)] == [3]
+    tokens = packing.WordTokens("word_bpe_49k.json")
+    want = np.array(tokens.tokenizer.encode("one two " * 5, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokens.of([b"one two " * 5] * 3) == [want] * 3
