@@ -25,7 +25,8 @@ class PieceModel:
         self.scores, self.bytes, self.kind = scores, bytes_, kind
         self.prefix, self.collapse, self.unknown = prefix, collapse, unknown
         self.longest = max(map(len, scores), default=1)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: Whether the second piece can follow the first, by their ids in one number (see ``follows``).
+        self.pairs: dict[int, bool] = {}
         self.names = {i: p for p, (i, _) in scores.items()}
         self.letters = {c for p in scores for c in p}
         self.inside = {p[i: i + 2] for p in scores for i in range(len(p) - 1)}
@@ -91,12 +92,12 @@ class PieceModel:
         if self.kind == UNIGRAM:
             return True
         before = "" if last is None or last == FALLBACK else self.names[last]
-        key = (-1 if before == "" else last, number)
-        known = self._pairs.get(key)
+        key = ((FALLBACK if before == "" else last) << 32) + number
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) > 2_000_000:
-                self._pairs.clear()
-            known = self._pairs[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
+            if len(self.pairs) > 2_000_000:
+                self.pairs.clear()
+            known = self.pairs[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
         return known
 
 

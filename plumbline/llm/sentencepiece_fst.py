@@ -40,7 +40,7 @@ UNKNOWN_PENALTY = 10.0
 
 class Transducer:
     def __init__(self, pieces: PieceModel) -> None:
-        self.pieces, self.known, self.prefixes = pieces, {}, {}
+        self.pieces, self.known, self.older, self.prefixes = pieces, {}, {}, {}
         self.part = lru_cache(CACHE)(lambda text: np.array(self.shortest(text), np.int32).tobytes())
         worst = min((s for _, s in pieces.scores.values()), default=0.0)
         self.unknown = UNKNOWN_PENALTY - worst
@@ -52,6 +52,10 @@ class Transducer:
         for b, i in pieces.bytes.items():
             self.output[i] = bytes([b])
         self.output[pieces.unknown] = " ⁇ ".encode()
+        # each prefix of a text then has one state only: its own byte-pair encoding's last piece
+        self.single = self.pair and pieces.letters <= set(pieces.scores)
+        #: All ends of pieces, with the piece's id if the end is a piece itself.
+        self.tails = {p[k:]: -2 for p in pieces.scores for k in range(len(p))} | {p: i for p, (i, _) in pieces.scores.items()}
 
     def arcs(self, text: str, i: int):
         """What enters position ``i``: where it starts, ids on the arc, state it leads to, weight."""
@@ -72,6 +76,8 @@ class Transducer:
         """
         if len(self.prefixes) > CACHE:
             self.prefixes.clear()
+        if self.single:
+            return self.only(text)
         best: list[dict] = [{None: (0.0, None)}]
         for i in range(1, len(text) + 1):
             own = self.prefixes.get(text[:i]) if i <= KEPT else None
@@ -93,13 +99,51 @@ class Transducer:
             out.append(ids)
         return [x for ids in reversed(out) for x in ids]
 
+    def only(self, text: str) -> list[int]:
+        """The path where each prefix has one finite path, so that the first arc which the acceptor lets pass is the one.
+
+        Arcs into a position are tried shortest first, as far back as any piece reaches.
+        """
+        prefixes, tails, pairs, follows = self.prefixes, self.tails, self.pieces.pairs, self.pieces.follows
+        begins, states = [0], [FALLBACK]
+        for i in range(1, len(text) + 1):
+            own = prefixes.get(text[:i]) if i <= KEPT else None
+            if own is None:
+                j = i - 1
+                piece = text[j]
+                number = tails.get(piece, FALLBACK)
+                while number != FALLBACK:
+                    if number >= 0:
+                        passes = pairs.get((states[j] << 32) + number)
+                        if passes is None:
+                            passes = follows(states[j], piece, number)
+                        if passes:
+                            break
+                    j -= 1
+                    piece = text[j:i]
+                    number = tails[piece]
+                own = (j, number)
+                if i <= KEPT:
+                    prefixes[text[:i]] = own
+            begins.append(own[0])
+            states.append(own[1])
+        at, out, p = len(text), [], self.pieces
+        while at:
+            if states[at] == FALLBACK:
+                out += reversed([p.bytes[b] for b in text[at - 1].encode()] if p.bytes else [p.unknown])
+            else:
+                out.append(states[at])
+            at = begins[at]
+        return out[::-1]
+
     def encode(self, text: bytes) -> np.ndarray:
         chunks = self.pieces.cutter.findall(self.pieces.normalised(text))
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
+        if len(self.known) > CACHE:  # the generation before goes; what is met again moves over from this one
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         for c in set(chunks).difference(known):
-            known[c] = b"".join(map(self.part, self.pieces.parts(c.decode())))
+            own = older.get(c)
+            known[c] = b"".join(map(self.part, self.pieces.parts(c.decode()))) if own is None else own
         return np.frombuffer(b"".join([known[c] for c in chunks]), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
