@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.config import METRIC_EPS, NONLINEARITY_GAP, R2_CEILING
@@ -212,8 +212,63 @@ def durbin_watson(df: DataFrame, y: str, yhat: str, order: Sequence[str]) -> Dat
     return joints.agg(F.expr("sum(n) as n"), F.expr("sum(d) / sum(ss) as durbin_watson"))
 
 
-def batch_slices(df: DataFrame, order: Sequence[str], k: int = 4) -> DataFrame:
-    """Adds ``batch`` 1..k: equal consecutive slices in order; the remainder is left out."""
+def _slice_ends(df: DataFrame, order: Sequence[str], k: int) -> list[tuple]:
+    """Where slices 1..k end: (first value, key, rows of just that place that are before the end). No sort of
+    the rows: counts per first value, then per leading bytes of the key, then single keys."""
+    first, key = order
+    short = f"substring(`{key}`, 1, {2 if dict(df.dtypes)[key] == 'binary' else 4})"
+    days = df.groupBy(first).agg(F.count("*").alias("n")).collect()
+    null_first = lambda v: (v is not None, v if v is not None else 0)
+    ends, size = [], sum(r["n"] for r in days) // k
+    for j in range(1, k + 1):
+        left, where = j * size - 1, F.lit(True)  # the last row before the end
+        for column, same in ((F.col(first), days), (F.expr(short), None), (F.col(key), None)):
+            found = same or df.where(where).groupBy(column.alias("v")).agg(F.count("*").alias("n")).collect()
+            for v, n in sorted(((r[0], r["n"]) for r in found), key=lambda r: null_first(bytes(r[0]) if isinstance(r[0], bytearray) else r[0])):
+                if left < n:
+                    break
+                left -= n
+            where = where & column.eqNullSafe(F.lit(bytes(v) if isinstance(v, bytearray) else v))
+            if column is not None and same:
+                day = v
+        ends.append((day, bytes(v) if isinstance(v, bytearray) else v, left + 1, n))
+    return ends
+
+
+def _slices_by_ends(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
+    """``batch`` from where each slice ends; of equal rows around an end just as many as fit go before it."""
+    first, key = order
+    if df.limit(k).count() < k:
+        return df.withColumn("batch", F.lit(1)).where(F.lit(False))
+    ends = _slice_ends(df, order, k)
+    at = lambda e: F.col(first).eqNullSafe(F.lit(e[0])) & F.col(key).eqNullSafe(F.lit(e[1]))
+
+    def after(e):
+        def above(c, v):
+            return F.col(c).isNotNull() if v is None else F.coalesce(F.col(c) > F.lit(v), F.lit(False))
+        return above(first, e[0]) | (F.col(first).eqNullSafe(F.lit(e[0])) & above(key, e[1]))
+
+    def batch(past):
+        """1 + the slices that end before the row."""
+        return sum((F.when(past(e), 1).otherwise(0) for e in ends), F.lit(1))
+
+    split = [e for e in ends if e[2] < e[3]]
+    if not split:
+        return df.withColumn("batch", batch(after)).where(F.col("batch") <= k)
+    odd = sum((F.when(at(e), 1).otherwise(0) for e in split), F.lit(0)) > 0
+    place = F.row_number().over(Window.partitionBy(first, key).orderBy(F.lit(1)))
+    some = df.where(odd).withColumn("_place", place).withColumn("batch", batch(lambda e: after(e) | (at(e) & (F.col("_place") > e[2]))))
+    return df.where(~odd).withColumn("batch", batch(after)).unionByName(some.drop("_place")).where(F.col("batch") <= k)
+
+
+def batch_slices(df: DataFrame, order: Sequence[str], k: int = 4, index: bool = True) -> DataFrame:
+    """Adds ``batch`` 1..k: equal consecutive slices in order; the remainder is left out.
+
+    Without ``index`` (``order``: a coarse column and a key of letters or bytes) no row is moved or written
+    and ``row_index`` isn't added.
+    """
+    if not index:
+        return _slices_by_ends(df, order, k)
     rows = ordered_index(df, order)
     size = rows.agg(F.expr(f"cast(floor(count(*) / {k}) as bigint) as _size"))
     return (

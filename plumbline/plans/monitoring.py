@@ -12,7 +12,7 @@ from plumbline.operators.regression import batch_slices as slice_batches
 from plumbline.operators.series import concordance
 from plumbline.plans import fragments as S
 from plumbline.plans.registry import query, rounded
-from plumbline.session import shared_dir, stage
+from plumbline.session import shared_dir, stage, tidy
 from plumbline.sources import fixtures as X
 from plumbline.sources.runlog import retrain_signal
 from plumbline.sources.tables import append_batch, read_batches, union_batches
@@ -162,12 +162,15 @@ def reference_profile(spark, sf):
 # --- planted drift and the monitoring history --------------------------------
 
 
+PREDICTION = "1500.0D * q + 0.01D * tp + 200.0D * ps"
+
+
 def planted(spark, sf):
     """Reference and four slices with growing planted drift, scored by the champion."""
     ref, cur = _sides(spark, sf)
     sliced = slice_batches(cur.select("row_id", "dt", *WF), ["dt", "row_id"], 4)
     moved = perturb(stage(sliced, "sliced"), ref, "batch", day_plan("q", "tp", "ps"))
-    return ref, moved.withColumn("prediction", F.expr("1500.0D * q + 0.01D * tp + 200.0D * ps"))
+    return ref, moved.withColumn("prediction", F.expr(PREDICTION))
 
 
 def history(spark, sf):
@@ -175,10 +178,13 @@ def history(spark, sf):
     like the monitoring table they stand for."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _history:
-        ref, cur = planted(spark, sf)
-        cur = stage(cur.select("batch", "prediction", *WF), "planted")
-        ref = ref.withColumnRenamed("champ", "prediction")
-        both = stage(D.drift(ref, cur, [*WF, "prediction"], "batch"), "records")
+        # rows of this size are neither sorted nor written again: batches and changes are expressions
+        table = X.drift_table(spark, sf)
+        ref = X.reference_side(table).withColumn("prediction", F.expr(PREDICTION))
+        sliced = slice_batches(X.current_side(table).select("row_id", "dt", *WF), ["dt", "row_id"], 4, index=False)
+        cur = perturb(sliced, ref, "batch", day_plan("q", "tp", "ps")).withColumn("prediction", F.expr(PREDICTION))
+        tidy(spark)
+        both = stage(D.drift(ref, cur.select("batch", "prediction", *WF), [*WF, "prediction"], "batch"), "records")
         feats, preds = both.where("feature <> 'prediction'"), both.where("feature = 'prediction'")
         _history[key] = (feats, stage(D.monitoring(feats, preds, "batch"), "history"))
     return _history[key]

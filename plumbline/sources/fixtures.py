@@ -7,16 +7,20 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.config import FEATURES
 from plumbline.functions.scalar import hash_unit
-from plumbline.session import stage
+from plumbline.session import shared_dir, stage, tidy
 
 WIDE_FEATURES = ["q", "d", "t", "tp", "ps", "rp", "sa", "ca"]
 SPLIT_DATE = "1999-01-01"
 _staged: dict[tuple[str, str], DataFrame] = {}
+_drift: dict[tuple[str, str], DataFrame] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,17 +33,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def build_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li, orders = spread(read(spark, sf_dir, "lineitem")), read(spark, sf_dir, "orders")
-    part, supp = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
-    cust = read(spark, sf_dir, "customer")
-    joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(supp, li.l_suppkey == supp.s_suppkey)
-        .join(cust, orders.o_custkey == cust.c_custkey)
-    )
-    key = F.md5(
+def _row_key():
+    return F.md5(
         F.concat_ws(
             "|",
             F.col("l_orderkey").cast("string"),
@@ -50,6 +45,19 @@ def build_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
         )
     )
+
+
+def build_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li, orders = spread(read(spark, sf_dir, "lineitem")), read(spark, sf_dir, "orders")
+    part, supp = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
+    cust = read(spark, sf_dir, "customer")
+    joined = (
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(part, li.l_partkey == part.p_partkey)
+        .join(supp, li.l_suppkey == supp.s_suppkey)
+        .join(cust, orders.o_custkey == cust.c_custkey)
+    )
+    key = _row_key()
     champ = 1500.0 * F.col("l_quantity") + 0.01 * F.col("o_totalprice") + 200.0 * F.col("p_size")
     return joined.select(
         key.alias("row_id"),
@@ -80,6 +88,54 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged[key]
 
 
+def _drift_part(spark: SparkSession, sf_dir: str, part: int, parts: int) -> DataFrame:
+    """What ``drift_table`` has of the orders of one part. Only the columns that are needed travel, and the
+    row key, in half its bytes, only beside rows of the current side."""
+    def mine(name: str, key: str) -> DataFrame:
+        rows = read(spark, sf_dir, name)
+        return rows.where(F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(parts)) == part) if parts > 1 else rows
+
+    cust = read(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("ca"))
+    orders = mine("orders", "o_orderkey").select(
+        "o_orderkey", "o_custkey", F.col("o_totalprice").alias("tp"), F.to_date("o_orderdate").alias("dt")
+    ).where("dt is not null").join(cust, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "tp", "dt", "ca")
+    li = mine("lineitem", "l_orderkey").select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.col("l_tax").alias("t"),
+        F.unhex(_row_key()).alias("row_id"))
+    part_ = read(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("double").alias("ps"), F.col("p_retailprice").alias("rp"))
+    supp = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_acctbal").alias("sa"))
+    both = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.when(F.col("dt") >= F.lit(SPLIT_DATE).cast("date"), F.col("row_id")).alias("row_id"), "l_partkey", "l_suppkey", "q", "d", "t", "tp", "ca", "dt")
+    return both.join(part_, F.col("l_partkey") == F.col("p_partkey")).join(supp, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "row_id", *WIDE_FEATURES, "dt")
+
+
+#: Lineitems in a part of the drift table, and the most parts; every part scans the tables again.
+PART_ROWS, PARTS = 1_000_000, 8
+
+
+def drift_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated features of ``wide_table`` (row_id only on the current side, as bytes), written once.
+
+    The joins move many times what is kept, so they run over a part of the orders at a time, and
+    Spark drops the shuffles of one part before the next begins.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _staged:
+        return _staged[key].select("row_id", *WIDE_FEATURES, "dt")
+    if key not in _drift:
+        parts = max(1, min(PARTS, math.ceil(read(spark, sf_dir, "lineitem").count() / PART_ROWS)))
+        path, schema = f"{shared_dir(spark)}/drift-{uuid.uuid4().hex}", None
+        for k in range(parts):
+            rows = _drift_part(spark, sf_dir, k, parts)
+            schema = rows.schema
+            rows.write.mode("append").parquet(path)
+            del rows
+            tidy(spark)
+        _drift[key] = spark.read.schema(schema).parquet(path)
+    return _drift[key]
+
+
 def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn("month", F.date_format(F.trunc("dt", "month"), "yyyy-MM-dd"))
 
